@@ -1,0 +1 @@
+"""Intentionally empty: all the work is daily batch work, there are no streams to serve."""
