@@ -17,6 +17,7 @@ from shelfwise import settings as S
 from shelfwise.functions.dates import as_day, pt_text
 from shelfwise.plans.rules_daily import RuleInputs
 from shelfwise.plans.similarity_daily import SimilarityInputs
+from shelfwise.session import staged
 from shelfwise.sources.documents import category_nodes, potential_goods
 
 # The day and window all queries use; 60 days so that sales meet forecasts.
@@ -177,10 +178,14 @@ class Retail:
 
     @cached_property
     def rule_inputs(self) -> RuleInputs:
-        return RuleInputs(self.focus, self.goods_static, self.recent, self.forecast,
-                          self.potential, self.recommend)
+        """Inputs of the daily plan as stored tables, which is what a daily plan reads."""
+        dynamic = staged(self.recent, "dynamic")
+        forecast = staged(self.forecast, "forecast")
+        return RuleInputs(staged(self.focus, "focus"), staged(self.goods_static, "static"), dynamic,
+                          forecast, staged(self.potential, "potential"), self.recommend)
 
     @cached_property
     def similarity_inputs(self) -> SimilarityInputs:
-        return SimilarityInputs(self.focus, self.goods_static, self.recent, self.forecast,
-                                self.potential, self.recommend, self.category_nodes)
+        rule = self.rule_inputs
+        return SimilarityInputs(rule.focus, rule.goods_static, rule.goods_dynamic, rule.forecast,
+                                rule.potential, rule.recommend, self.category_nodes)

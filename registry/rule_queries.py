@@ -9,6 +9,7 @@ from registry.bindings import AS_OF, DAYS, MIN_TAGS, Retail
 from shelfwise.operators import follow, rules, sales
 from shelfwise.operators.catalog import category_explode
 from shelfwise.plans import rules_daily
+from shelfwise.session import staged
 
 
 def sale_of(t: Retail) -> DataFrame:
@@ -27,13 +28,12 @@ def overlap_of(t: Retail) -> DataFrame:
     return follow.tag_overlap(t.focus, t.day, MIN_TAGS)
 
 
-def sources_of(t: Retail) -> list[DataFrame]:
-    top = top_of(t)
-    return [follow.goods_follow_goods(own_categories(t), top),
-            follow.shop_follow_goods(t.focus, t.goods_static),
-            follow.category_follow_goods(t.focus, top),
-            follow.tag_goods_top(overlap_of(t), sale_of(t)),
-            rules.recent_pairs(t.recommend, AS_OF)]
+def stored_sale(t: Retail) -> DataFrame:
+    return rules_daily.rule_sale(t.rule_inputs, AS_OF, DAYS)
+
+
+def sources_of(t: Retail) -> tuple[DataFrame, ...]:
+    return rules_daily.rule_sources(t.rule_inputs, AS_OF, stored_sale(t), MIN_TAGS)
 
 
 def priorities_of(t: Retail) -> DataFrame:
@@ -145,7 +145,7 @@ def tag_overlap_any(t: Retail) -> DataFrame:
 
 @query("tag_goods_top", "SELECT user_id, goods_id, support_by_tag, rank_sale, rank_prediction FROM tag_top")
 def tag_goods_top(t: Retail) -> DataFrame:
-    return follow.tag_goods_top(overlap_of(t), sale_of(t))
+    return follow.tag_goods_top(staged(overlap_of(t), "overlap"), staged(sale_of(t), "sale"))
 
 
 @query("recent_pairs", "SELECT user_id, goods_id FROM recent_any")
@@ -184,21 +184,21 @@ def support_counts(t: Retail) -> DataFrame:
         F.sum(F.col("user_id").cast("bigint")).alias("user_sum"))
 
 
-@query("candidates", PER_USER.format("candidates"))
-def candidates(t: Retail) -> DataFrame:
-    support = rules.support_counts(*sources_of(t))
-    return per_user(rules.candidates(support, sales.newuser_pool(sale_of(t), t.goods_static, AS_OF)))
+def candidates_of(t: Retail) -> DataFrame:
+    return rules_daily.rule_candidates(t.rule_inputs, AS_OF, stored_sale(t), MIN_TAGS)
 
 
-def candidates_of(t: Retail) -> DataFrame:
-    return rules_daily.rule_candidates(t.rule_inputs, AS_OF, sale_of(t), MIN_TAGS)
+@query("candidates", PER_USER.format("candidates"))
+def candidates(t: Retail) -> DataFrame:
+    return per_user(candidates_of(t))
 
 
 @query("fresh_candidates", """
     SELECT user_id, support_by_potentialhot, count(*) AS n_pairs, CAST(sum(goods_id) AS BIGINT) AS goods_sum
     FROM fresh_candidates GROUP BY user_id, support_by_potentialhot""")
 def fresh_candidates(t: Retail) -> DataFrame:
-    fresh = rules.fresh_candidates(candidates_of(t), t.goods_static, t.potential, AS_OF)
+    stored = t.rule_inputs
+    fresh = rules.fresh_candidates(candidates_of(t), stored.goods_static, stored.potential, AS_OF)
     return fresh.groupBy("user_id", "support_by_potentialhot").agg(
         F.count(F.lit(1)).alias("n_pairs"), F.sum("goods_id").alias("goods_sum"))
 
@@ -219,8 +219,9 @@ def priority_sums(rows: DataFrame) -> DataFrame:
 
 @query("priorities", PRIORITY_SUMS)
 def priorities(t: Retail) -> DataFrame:
-    fresh = rules.fresh_candidates(candidates_of(t), t.goods_static, t.potential, AS_OF)
-    return priority_sums(rules.priorities(fresh, sale_of(t)))
+    stored = t.rule_inputs
+    fresh = rules.fresh_candidates(candidates_of(t), stored.goods_static, stored.potential, AS_OF)
+    return priority_sums(rules.priorities(fresh, stored_sale(t)))
 
 
 @query("candidate_priorities", PRIORITY_SUMS)

@@ -10,6 +10,7 @@ from registry.rule_queries import positions
 from shelfwise import settings as S
 from shelfwise.operators import hierarchy, merge, profile, rules, similarity
 from shelfwise.plans import similarity_daily
+from shelfwise.session import staged
 
 
 def shop_hot_of(t: Retail) -> DataFrame:
@@ -212,13 +213,14 @@ def default_potential(t: Retail) -> DataFrame:
            round(sum(sim), 6) AS sim_sum, round(max(sim), 6) AS sim_max
     FROM sims WHERE type = 'hot' GROUP BY user_id""")
 def tag_similarity(t: Retail) -> DataFrame:
-    return similarity.tag_similarity(frequency_of(t), hot_of(t)).groupBy("user_id").agg(
+    pool = staged(hot_of(t), "hot-pool")
+    return similarity.tag_similarity(frequency_of(t), pool).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_pairs"), F.sum("goods_id").alias("goods_sum"),
         F.round(F.sum("sim"), 6).alias("sim_sum"), F.round(F.max("sim"), 6).alias("sim_max"))
 
 
 def hot_sims(t: Retail, side: similarity_daily.UserSide) -> DataFrame:
-    return similarity.tag_similarity(side.frequency, hot_of(t))
+    return similarity.tag_similarity(side.frequency, staged(hot_of(t), "hot-pool"))
 
 
 def hot_distances(t: Retail, side: similarity_daily.UserSide, pairs: DataFrame) -> DataFrame:
@@ -338,8 +340,7 @@ def tag_frequency(t: Retail) -> DataFrame:
                   WHERE goods_id IN (SELECT goods_id FROM goods_dynamic)) p ON p.goods_id = e.goods_id)
           GROUP BY user_id) t ON t.user_id = g.user_id""")
 def user_tag_merge(t: Retail) -> DataFrame:
-    rows = merge.expand_tags(merge.category_expand(t.focus, t.goods_static), t.goods_dynamic)
-    merged = merge.user_tag_merge(rows)
+    merged = merge.expanded_user_tags(t.focus, t.goods_static, t.goods_dynamic)
     total = F.aggregate("goods_ids", F.lit(0).cast("bigint"), lambda a, g: a + g)
     return merged.select("user_id", "part", F.size("goods_ids").cast("bigint").alias("n_goods"),
                          total.alias("goods_sum"), F.array_join("tags", ",").alias("tags"))

@@ -14,6 +14,7 @@ from shelfwise.functions.dates import pt_text
 from shelfwise.operators.groups import first_rows
 from shelfwise.operators.rules import recent_pairs
 from shelfwise.operators.sales import valid_sale
+from shelfwise.session import small_enough, staged
 from shelfwise.sources.partitions import read_partitions
 
 
@@ -80,8 +81,11 @@ def matched_pairs(frequency: DataFrame, pool: DataFrame, extra: DataFrame | None
                   pool_columns: list[str] | None = None) -> DataFrame:
     """Pairs of user and pool goods that share a tag, with their dot product.
 
-    What is known per user travels with the user's tag rows, so the pair rows are
-    aggregated once and need no further join.
+    What is known per user travels with the user's tag rows. A pool whose tags were counted
+    and found small is sent to every task, and the tag rows are spread by user: pairs are
+    then summed, and later ranked, where they arise. A user's work is bounded by the pool,
+    however many tags the user has, and the number of tasks is fixed, as the pairs outgrow
+    the tag rows. A larger pool is joined by tag in the usual way.
     """
     users = user_norms(frequency)
     if extra is not None:
@@ -89,7 +93,11 @@ def matched_pairs(frequency: DataFrame, pool: DataFrame, extra: DataFrame | None
     per_user = [c for c in users.columns if c != "user_id"]
     per_goods = pool_columns or []
     tags = pool.select("goods_id", *per_goods, F.explode(F.array_distinct("tags")).alias("tag"))
-    return (frequency.join(users, "user_id").join(tags, "tag")
+    known = frequency.join(users, "user_id")
+    if small_enough(tags):
+        tasks = 2 * int(frequency.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        known, tags = known.repartition(tasks, "user_id"), F.broadcast(tags)
+    return (known.join(tags, "tag")
             .groupBy("user_id", *per_user, "goods_id", *per_goods)
             .agg(F.sum(F.col("n").cast("bigint")).alias("dot")))
 
@@ -163,6 +171,7 @@ def top_similar(users: DataFrame, frequency: DataFrame, focus_depth: DataFrame |
         extra = users.select("user_id").distinct().join(user_depths(focus_depth), "user_id", "left")
     sim = similarity_column(F.col("dot"), F.col("squares"), F.col("n_tags"))
     distance = distance_column(F.col("depth_sum"), F.col("n_goods"), F.col("depth"))
+    placed = staged(placed, "placed-pool")
     matched = matched_pairs(frequency, placed, extra, ["depth", "sale"]).select(
         "user_id", "goods_id", "sale", score_column(sim, distance).alias("score"))
     matched = first_rows(matched, ["user_id"], best_order(), n).drop("position")

@@ -27,26 +27,42 @@ class RuleInputs:
     recommend: DataFrame
 
 
-def rule_candidates(inputs: RuleInputs, as_of: str, sale: DataFrame, min_tags: int = S.MIN_SHARED_TAGS,
-                    distinct_first: bool = False) -> DataFrame:
+def rule_sources(inputs: RuleInputs, as_of: str, sale: DataFrame, min_tags: int = S.MIN_SHARED_TAGS,
+                 distinct_first: bool = False) -> tuple[DataFrame, ...]:
+    """Goods by followed goods, shops, categories and tags, and what was shown lately.
+
+    The category tops and the overlap are read more than once, so each is written once.
+    """
     listed = category_explode(inputs.goods_static)
-    top = sales.category_top(sale, listed, inputs.goods_static, as_of)
+    top = staged(sales.category_top(sale, listed, inputs.goods_static, as_of), "category-top")
     own = follow.user_top_categories(inputs.focus, listed, distinct_first=distinct_first)
-    by_goods = follow.goods_follow_goods(own, top)
-    by_shop = follow.shop_follow_goods(inputs.focus, inputs.goods_static)
-    by_category = follow.category_follow_goods(inputs.focus, top)
     day = read_partitions(inputs.goods_dynamic, pt_text(as_of, dashed=True))
-    by_tag = follow.tag_goods_top(follow.tag_overlap(inputs.focus, day, min_tags), sale)
-    history = rules.recent_pairs(inputs.recommend, as_of)
-    support = rules.support_counts(by_goods, by_shop, by_category, by_tag, history)
+    overlap = staged(follow.tag_overlap(inputs.focus, day, min_tags), "overlap")
+    return (
+        follow.goods_follow_goods(own, top),
+        follow.shop_follow_goods(inputs.focus, inputs.goods_static),
+        follow.category_follow_goods(inputs.focus, top),
+        follow.tag_goods_top(overlap, sale),
+        rules.recent_pairs(inputs.recommend, as_of),
+    )
+
+
+def rule_sale(inputs: RuleInputs, as_of: str, days: int = S.SALE_DAYS) -> DataFrame:
+    """Sale and forecast per goods, written once for all its readers."""
+    return staged(sales.sale_with_forecast(
+        sales.sale_window(inputs.goods_dynamic, as_of, days), inputs.forecast), "sale")
+
+
+def rule_candidates(inputs: RuleInputs, as_of: str, sale: DataFrame, min_tags: int = S.MIN_SHARED_TAGS,
+                    distinct_first: bool = False) -> DataFrame:
+    support = rules.support_counts(*rule_sources(inputs, as_of, sale, min_tags, distinct_first))
     return rules.candidates(support, sales.newuser_pool(sale, inputs.goods_static, as_of))
 
 
 def rule_priorities(inputs: RuleInputs, as_of: str, days: int = S.SALE_DAYS,
                     min_tags: int = S.MIN_SHARED_TAGS, distinct_first: bool = False) -> DataFrame:
     """Priorities of all candidates, written once because three lists read them."""
-    sale = staged(sales.sale_with_forecast(
-        sales.sale_window(inputs.goods_dynamic, as_of, days), inputs.forecast), "sale")
+    sale = rule_sale(inputs, as_of, days)
     found = rule_candidates(inputs, as_of, sale, min_tags, distinct_first)
     return staged(rules.candidate_priorities(
         found, inputs.goods_static, inputs.potential, sale, as_of), "priorities")

@@ -56,6 +56,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_enough(df: DataFrame, max_rows: int = 500_000) -> bool:
+    """Counts up to ``max_rows`` + 1 rows: may this side be sent to every task?
+
+    Meant for stored or bounded frames, where the count is a cheap scan.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def lineage_cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder, for loops."""
     context = df.sparkSession.sparkContext
