@@ -214,7 +214,8 @@ def default_potential(t: Retail) -> DataFrame:
     FROM sims WHERE type = 'hot' GROUP BY user_id""")
 def tag_similarity(t: Retail) -> DataFrame:
     pool = staged(hot_of(t), "hot-pool")
-    return similarity.tag_similarity(frequency_of(t), pool).groupBy("user_id").agg(
+    frequency = staged(frequency_of(t), "frequency")
+    return similarity.tag_similarity(frequency, pool).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_pairs"), F.sum("goods_id").alias("goods_sum"),
         F.round(F.sum("sim"), 6).alias("sim_sum"), F.round(F.max("sim"), 6).alias("sim_max"))
 

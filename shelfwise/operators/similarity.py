@@ -12,11 +12,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfwise import settings as S
 from shelfwise.functions.dates import pt_text
 from shelfwise.operators.groups import first_rows
+from shelfwise.operators.pool_scores import best_in_small_pool
 from shelfwise.operators.rules import recent_pairs
 from shelfwise.operators.sales import valid_sale
 from shelfwise.session import small_enough, staged
 from shelfwise.sources.partitions import read_partitions
 
+POOL_TAG_ROWS = 200_000
+
 
 def pool_order() -> list[Column]:
     """Best selling first, unknown totals last, goods_id between equals."""
@@ -77,31 +80,45 @@ def score_column(sim: Column, distance: Column) -> Column:
     return (1 + F.exp(sim)) / distance
 
 
-def matched_pairs(frequency: DataFrame, pool: DataFrame, extra: DataFrame | None = None,
-                  pool_columns: list[str] | None = None) -> DataFrame:
-    """Pairs of user and pool goods that share a tag, with their dot product.
-
-    What is known per user travels with the user's tag rows. A pool whose tags were counted
-    and found small is sent to every task, and the tag rows are spread by user: pairs are
-    then summed, and later ranked, where they arise. A user's work is bounded by the pool,
-    however many tags the user has, and the number of tasks is fixed, as the pairs outgrow
-    the tag rows. A larger pool is joined by tag in the usual way.
-    """
+def known_users(frequency: DataFrame, extra: DataFrame | None = None) -> DataFrame:
+    """Tag rows together with what is known per user, so that pairs need no further join."""
     users = user_norms(frequency)
     if extra is not None:
         users = users.join(extra, "user_id", "left")
-    per_user = [c for c in users.columns if c != "user_id"]
+    return frequency.join(users, "user_id")
+
+
+def matched_pairs(frequency: DataFrame, pool: DataFrame, extra: DataFrame | None = None,
+                  pool_columns: list[str] | None = None) -> DataFrame:
+    """Pairs of user and pool goods that share a tag, with their dot product."""
+    known = known_users(frequency, extra)
+    per_user = [c for c in known.columns if c not in ("user_id", "tag", "n")]
     per_goods = pool_columns or []
     tags = pool.select("goods_id", *per_goods, F.explode(F.array_distinct("tags")).alias("tag"))
-    known = frequency.join(users, "user_id")
-    if small_enough(tags):
-        tasks = 2 * int(frequency.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        known, tags = known.repartition(tasks, "user_id"), F.broadcast(tags)
-    return (known.join(tags, "tag")
-            .groupBy("user_id", *per_user, "goods_id", *per_goods)
+    return (known.join(tags, "tag").groupBy("user_id", *per_user, "goods_id", *per_goods)
             .agg(F.sum(F.col("n").cast("bigint")).alias("dot")))
 
 
+def best_matches(frequency: DataFrame, pool: DataFrame, extra: DataFrame, n: int,
+                 max_pool_tags: int = POOL_TAG_ROWS) -> DataFrame:
+    """The n best goods per user among those that share a tag.
+
+    A pool whose tag rows were counted and found few is sent to every task and scored there
+    for whole batches of users. Any other pool is joined by tag, summed and ranked by Spark.
+    """
+    tag_rows = pool.select(F.explode("tags"))
+    if small_enough(tag_rows, max_pool_tags):
+        # More tasks than the default, since scoring outweighs the size of the tag rows.
+        tasks = 2 * int(frequency.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return best_in_small_pool(known_users(frequency, extra), pool, pool_order(), n, tasks)
+    sim = similarity_column(F.col("dot"), F.col("squares"), F.col("n_tags"))
+    distance = distance_column(F.col("depth_sum"), F.col("n_goods"), F.col("depth"))
+    pairs = matched_pairs(frequency, pool, extra, ["depth", "sale"]).select(
+        "user_id", "goods_id", F.col("sale").cast("double").alias("sale"),
+        score_column(sim, distance).alias("score"))
+    return first_rows(pairs, ["user_id"], best_order(), n).drop("position")
+
+
 def tag_similarity(frequency: DataFrame, pool: DataFrame) -> DataFrame:
     """Similarity of every pair that shares a tag; all other pairs have 0."""
     sim = similarity_column(F.col("dot"), F.col("squares"), F.col("n_tags"))
@@ -143,7 +160,8 @@ def base_candidates(users: DataFrame, pool: DataFrame, n: int = S.KEPT_LENGTH) -
         g["goods_id"].alias("goods_id"), g["sale"].alias("sale")))
     best = F.slice(F.array_sort(usable), 1, n)
     rows = users.withColumn("listed", listed).select("user_id", F.explode(best).alias("g"))
-    return rows.select("user_id", F.col("g.goods_id").alias("goods_id"), F.col("g.sale").alias("sale"),
+    return rows.select("user_id", F.col("g.goods_id").alias("goods_id"),
+                       F.col("g.sale").cast("double").alias("sale"),
                        (-F.col("g.worse")).alias("score"))
 
 
@@ -152,7 +170,8 @@ def best_order() -> list[Column]:
 
 
 def top_similar(users: DataFrame, frequency: DataFrame, focus_depth: DataFrame | None,
-                pool: DataFrame, depths: DataFrame | None, n: int = S.KEPT_LENGTH) -> DataFrame:
+                pool: DataFrame, depths: DataFrame | None, n: int = S.KEPT_LENGTH,
+                max_pool_tags: int = POOL_TAG_ROWS) -> DataFrame:
     """The n best pool goods of every user by (1 + e^similarity) / distance.
 
     Exact: a goods outside the matched pairs can only be among the n best if it is among
@@ -169,12 +188,8 @@ def top_similar(users: DataFrame, frequency: DataFrame, focus_depth: DataFrame |
             depths.select("goods_id", "depth"), "goods_id", "left"
         ).withColumn("depth", F.coalesce("depth", F.lit(0)))
         extra = users.select("user_id").distinct().join(user_depths(focus_depth), "user_id", "left")
-    sim = similarity_column(F.col("dot"), F.col("squares"), F.col("n_tags"))
-    distance = distance_column(F.col("depth_sum"), F.col("n_goods"), F.col("depth"))
     placed = staged(placed, "placed-pool")
-    matched = matched_pairs(frequency, placed, extra, ["depth", "sale"]).select(
-        "user_id", "goods_id", "sale", score_column(sim, distance).alias("score"))
-    matched = first_rows(matched, ["user_id"], best_order(), n).drop("position")
+    matched = best_matches(frequency, placed, extra, n, max_pool_tags)
     base = base_candidates(extra, placed, n)
     # At most 2n rows per user from here on; one exchange serves both steps below.
     both = matched.unionByName(base).repartition("user_id").groupBy("user_id", "goods_id", "sale").agg(
