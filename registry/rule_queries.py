@@ -93,7 +93,7 @@ def shop_follow_goods(t: Retail) -> DataFrame:
 
 @query("category_follow_goods", PER_USER.format("category_pairs"))
 def category_follow_goods(t: Retail) -> DataFrame:
-    return per_user(follow.category_follow_goods(t.focus, top_of(t)))
+    return per_user(follow.category_follow_goods(t.focus, staged(top_of(t), "category-top")))
 
 
 @query("goods_follow_categories", """
@@ -125,7 +125,7 @@ def user_top_categories_distinct_first(t: Retail) -> DataFrame:
 
 @query("goods_follow_goods", PER_USER.format("goods_pairs"))
 def goods_follow_goods(t: Retail) -> DataFrame:
-    return per_user(follow.goods_follow_goods(own_categories(t), top_of(t)))
+    return per_user(follow.goods_follow_goods(own_categories(t), staged(top_of(t), "category-top")))
 
 
 @query("tag_overlap", "SELECT user_id, goods_id, support_by_tag FROM overlap_all WHERE support_by_tag >= 5")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise import settings as S
 from shelfwise.functions.arrays import typed_id
-from shelfwise.operators.groups import dense_ranks
+from shelfwise.operators.groups import dense_ranks, fan_out
 
 
 def followed(focus: DataFrame, kind: str, name: str, like: DataFrame | None = None) -> DataFrame:
@@ -28,7 +28,7 @@ def _listed(category_top: DataFrame) -> DataFrame:
 def category_follow_goods(focus: DataFrame, category_top: DataFrame) -> DataFrame:
     """Top goods of the followed categories, distinct pairs."""
     categories = followed(focus, S.FOCUS_CATEGORY, "category").distinct()
-    return categories.join(_listed(category_top), "category").select("user_id", "goods_id").distinct()
+    return fan_out(categories, _listed(category_top), "category").select("user_id", "goods_id").distinct()
 
 
 def goods_follow_categories(focus: DataFrame, goods_category: DataFrame) -> DataFrame:
@@ -64,9 +64,8 @@ def user_top_categories(focus: DataFrame, goods_category: DataFrame, k: int = S.
 
 def goods_follow_goods(top_categories: DataFrame, category_top: DataFrame) -> DataFrame:
     """Top goods of a user's own categories, distinct; a user without any has a null goods."""
-    return (top_categories.select("user_id", "category")
-            .join(_listed(category_top), "category", "left")
-            .select("user_id", "goods_id").distinct())
+    own = top_categories.select("user_id", "category").distinct()
+    return fan_out(own, _listed(category_top), "category", "left").select("user_id", "goods_id").distinct()
 
 
 def tag_overlap(focus: DataFrame, day: DataFrame, min_tags: int = S.MIN_SHARED_TAGS) -> DataFrame:

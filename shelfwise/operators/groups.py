@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfwise.session import small_enough
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys meet; the key columns of ``left`` are kept."""
@@ -22,6 +24,20 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def fan_out(users: DataFrame, goods: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join user rows with goods rows that multiply them.
+
+    If the goods side was counted and is small, it is sent to every task and the user rows
+    are dealt out evenly, whatever their keys, so the many result rows arise evenly too.
+    Otherwise Spark shuffles both sides and splits hot keys.
+    """
+    if not small_enough(goods):
+        return users.join(goods, on, how)
+    # More tasks than the default, since the result outgrows both inputs.
+    tasks = 2 * int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return users.repartition(tasks).join(F.broadcast(goods), on, how)
+
+
 def dense_ranks(df: DataFrame, keys: Sequence[str], value: str, rank: str, k: int | None = None) -> DataFrame:
     """Add the dense rank of ``value`` (descending, nulls last) within ``keys``.
 

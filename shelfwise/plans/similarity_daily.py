@@ -40,9 +40,10 @@ class UserSide:
 
 def focus_pairs(inputs: SimilarityInputs, as_of: str, days: int) -> DataFrame:
     """Followed goods and top goods of followed categories."""
-    sale = sales.sale_with_forecast(
-        sales.sale_window(inputs.goods_dynamic, as_of, days), inputs.forecast)
-    top = sales.category_top(sale, category_explode(inputs.goods_static), inputs.goods_static, as_of)
+    sale = staged(sales.sale_with_forecast(
+        sales.sale_window(inputs.goods_dynamic, as_of, days), inputs.forecast), "sale")
+    top = staged(sales.category_top(
+        sale, category_explode(inputs.goods_static), inputs.goods_static, as_of), "category-top")
     own = follow.followed(inputs.focus, S.FOCUS_GOODS, "goods_id", inputs.goods_static)
     return own.unionByName(follow.category_follow_goods(inputs.focus, top))
 
