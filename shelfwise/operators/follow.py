@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from shelfwise import settings as S
 from shelfwise.functions.arrays import typed_id
 from shelfwise.operators.groups import dense_ranks, fan_out
+from shelfwise.session import small_enough, staged
+
+DAY_TAG_ROWS = 500_000
 
 
 def followed(focus: DataFrame, kind: str, name: str, like: DataFrame | None = None) -> DataFrame:
@@ -68,20 +71,41 @@ def goods_follow_goods(top_categories: DataFrame, category_top: DataFrame) -> Da
     return fan_out(own, _listed(category_top), "category", "left").select("user_id", "goods_id").distinct()
 
 
-def tag_overlap(focus: DataFrame, day: DataFrame, min_tags: int = S.MIN_SHARED_TAGS) -> DataFrame:
+def tag_overlap(focus: DataFrame, day: DataFrame, min_tags: int = S.MIN_SHARED_TAGS,
+                max_day_rows: int = DAY_TAG_ROWS) -> DataFrame:
     """Goods of one day that carry at least ``min_tags`` followed tags of a user.
 
-    An exact prefix filter keeps popular tags out of the join. Tags are ordered from
-    rare to popular. A pair that reaches ``min_tags`` shares, as its rarest common tag,
-    one that is neither among the user's most popular tags that could not reach the
-    threshold together, nor among the same tail of the goods. Only the remaining tags
-    generate pairs; each pair is then counted over all its tags. Followed tags that no
-    goods carries count for a null goods.
+    A goods row counts a tag once. Followed tags that no goods carries count for a null
+    goods. A day counted and found small is sent to every task and matched user by user;
+    a user's work is then bounded by the day. A larger day goes through ``prefix_overlap``.
     """
     tags = followed(focus, S.FOCUS_TAG, "tag").groupBy("user_id", "tag").agg(
         F.count(F.lit(1)).alias("times"))
-    carried = day.select("goods_id", F.explode(F.array_distinct("tags")).alias("tag")).groupBy(
-        "goods_id", "tag").agg(F.count(F.lit(1)).alias("rows"))
+    carried = staged(day.select("goods_id", F.explode(F.array_distinct("tags")).alias("tag")).groupBy(
+        "goods_id", "tag").agg(F.count(F.lit(1)).alias("rows")), "carried-tags")
+    hits = F.sum(F.col("times") * F.col("rows")).alias("support_by_tag")
+    if small_enough(carried, max_day_rows):
+        tasks = 2 * int(focus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = tags.repartition(tasks, "user_id")
+        counted = spread.join(F.broadcast(carried), "tag").groupBy("user_id", "goods_id").agg(hits)
+    else:
+        pairs = prefix_overlap(tags, carried, min_tags)
+        counted = (pairs.join(carried, "goods_id").join(tags, ["user_id", "tag"])
+                   .groupBy("user_id", "goods_id").agg(hits))
+    unmet = (tags.join(carried.select("tag").distinct(), "tag", "left_anti").groupBy("user_id")
+             .agg(F.sum("times").alias("support_by_tag"))
+             .withColumn("goods_id", F.lit(None).cast(day.schema["goods_id"].dataType)))
+    return counted.unionByName(unmet).filter(F.col("support_by_tag") >= min_tags)
+
+
+def prefix_overlap(tags: DataFrame, carried: DataFrame, min_tags: int) -> DataFrame:
+    """Pairs that may share ``min_tags`` tags; none that does is left out.
+
+    A prefix filter keeps popular tags out of the join. Tags are ordered from rare to
+    popular. A pair that reaches ``min_tags`` shares, as its rarest common tag, one that is
+    neither among the user's most popular tags that could not reach the threshold together,
+    nor in the same tail of the goods. Only the remaining tags generate pairs.
+    """
     popularity = carried.groupBy("tag").agg(F.count(F.lit(1)).alias("popularity"))
     most_times = tags.agg(F.max("times").alias("m")).scalar()
     most_rows = carried.agg(F.max("rows").alias("m")).scalar()
@@ -100,15 +124,7 @@ def tag_overlap(focus: DataFrame, day: DataFrame, min_tags: int = S.MIN_SHARED_T
     index = (carried.join(popularity, "tag")
              .withColumn("place", F.row_number().over(goods_order))
              .filter(F.col("place") >= needed).select("goods_id", "tag"))
-
-    pairs = probes.join(index, "tag").select("user_id", "goods_id").distinct()
-    counted = (pairs.join(carried, "goods_id").join(tags, ["user_id", "tag"])
-               .groupBy("user_id", "goods_id")
-               .agg(F.sum(F.col("times") * F.col("rows")).alias("support_by_tag")))
-    unmet = (tags.join(popularity.select("tag"), "tag", "left_anti").groupBy("user_id")
-             .agg(F.sum("times").alias("support_by_tag"))
-             .withColumn("goods_id", F.lit(None).cast(day.schema["goods_id"].dataType)))
-    return counted.unionByName(unmet).filter(F.col("support_by_tag") >= min_tags)
+    return probes.join(index, "tag").select("user_id", "goods_id").distinct()
 
 
 def tag_goods_top(overlap: DataFrame, sale: DataFrame, k: int = S.TAG_RANKS) -> DataFrame:

@@ -23,8 +23,9 @@ def world(spark):
             spark.createDataFrame(goods, "goods_id bigint, tags array<string>"), focus, goods)
 
 
-@pytest.mark.parametrize("min_tags", [1, 2, 3, 5, 9])
-def test_overlap_equals_membership_count(world, rows, min_tags):
+@pytest.mark.parametrize("max_day_rows", [10_000, 0])
+@pytest.mark.parametrize("min_tags", [1, 3, 5, 9])
+def test_overlap_equals_membership_count(world, rows, min_tags, max_day_rows):
     focus_df, day_df, focus, goods = world
     counts = {}
     for user, _, tag in focus:
@@ -32,7 +33,7 @@ def test_overlap_equals_membership_count(world, rows, min_tags):
         for g in hits:
             counts[user, g] = counts.get((user, g), 0) + 1
     wanted = sorted(((u, g, n) for (u, g), n in counts.items() if n >= min_tags), key=repr)
-    got = follow.tag_overlap(focus_df, day_df, min_tags).select("user_id", "goods_id", "support_by_tag")
+    got = follow.tag_overlap(focus_df, day_df, min_tags, max_day_rows).select("user_id", "goods_id", "support_by_tag")
     assert rows(got) == wanted
 
 
