@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, functions as F
 
 from registry.base import query
-from registry.bindings import AS_OF, DAYS, Retail
+from registry.bindings import AS_OF, Retail
 from shelfwise.functions import arrays, dates
 from shelfwise.operators import catalog, sales
 from shelfwise.session import shared_folder
