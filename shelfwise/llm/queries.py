@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import fingerprints
+from shelfwise.llm import codes, fingerprints, mixing, packing, tokens
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +17,22 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_report(documents(spark, sf_dir))
 
 
+def op5_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.round_trip(documents(spark, sf_dir), tokens.vocabulary("word_bpe_49k.json"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(documents(spark, sf_dir))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(documents(spark, sf_dir), tokens.vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op5_codes": op5_codes,
+    "op6_mixing": op6_mixing,
+    "op8_packing": op8_packing,
 }
 ORACLES: dict[str, str] = {}
