@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import codes, fingerprints, mixing, packing, tokens
+from shelfwise.llm import codes, fingerprints, mixing, ngram_join, packing, tokens
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_report(documents(spark, sf_dir))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(documents(spark, sf_dir))
+
+
 def op5_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.round_trip(documents(spark, sf_dir), tokens.vocabulary("word_bpe_49k.json"))
 
@@ -31,6 +35,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_ngram_join": op2_ngram_join,
     "op5_codes": op5_codes,
     "op6_mixing": op6_mixing,
     "op8_packing": op8_packing,
