@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import codes, fingerprints, mixing, ngram_join, packing, tokens
+from shelfwise.llm import codes, fingerprints, line_dedup, mixing, ngram_join, packing, tokens
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,11 +33,27 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir), tokens.vocabulary("byte_bpe_50k.json"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(documents(spark, sf_dir))
+
+
+OP10_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+h AS (SELECT key AS heavy, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT r) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (heavy IS NOT NULL AND doc_id <> last) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (heavy IS NULL OR doc_id = last), '')) AS kept_sha256
+FROM k LEFT JOIN h ON key = heavy GROUP BY r, doc_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_ngram_join": op2_ngram_join,
     "op5_codes": op5_codes,
     "op6_mixing": op6_mixing,
     "op8_packing": op8_packing,
+    "op10_line_dedup": op10_line_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_line_dedup": OP10_SQL}
