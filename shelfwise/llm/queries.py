@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import codes, fingerprints, line_dedup, mixing, ngram_join, packing, tokens
+from shelfwise.llm import codes, fingerprints, line_dedup, mixing, ngram_join, packing, quality, tokens, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,10 +29,18 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(documents(spark, sf_dir))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.severity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir), tokens.vocabulary("byte_bpe_50k.json"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, sf_dir))
 
@@ -53,7 +61,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_join": op2_ngram_join,
     "op5_codes": op5_codes,
     "op6_mixing": op6_mixing,
+    "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
+    "op9_quality": op9_quality,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {"op10_line_dedup": OP10_SQL}

@@ -12,11 +12,11 @@ import re
 from array import array
 
 #: Words kept for each tokenizer and Python worker; then the store starts anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 1_600_000
 #: White space of Python that the tokenizers do not take for white space.
 _ODD = re.compile("[\x1c-\x1f]")
-#: A space or none, Latin letters (composed, all of category L), marks of few kinds behind them.
-_SIMPLE = re.compile("( ?[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
+#: A space or none, Latin letters (composed, all of category L), ASCII marks but the apostrophe behind them.
+_SIMPLE = re.compile("( ?[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
 def _visible() -> dict[int, str]:
@@ -51,8 +51,9 @@ class WordCoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.cut = cut
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self)
         self.tails: dict[str, bytes] = {}
+        self.newline = self._encode(["\n"])[0]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -81,51 +82,54 @@ class WordCoder:
             visible = piece.encode().decode("latin-1").translate(_VISIBLE)
         return array("I", [t.id for t in self.library.model.tokenize(visible)]).tobytes()
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words met for the first time.
+    def encode_word(self, word: str) -> bytes:
+        """Ids of a word of ``_split`` that was not met before.
 
         Letters with marks behind them go straight to the library's merges, the two parts
         on their own as the tokenizer would split them; all other words take the full way.
         """
-        out, rest = [b""] * len(words), []
-        tails = self.tails
-        for i, word in enumerate(words):
-            whole = self._whole(word)
-            if simple := _SIMPLE.fullmatch(whole):
-                stem, tail = simple.groups()
-                coded = self._model(stem.lower() if self.cut == "any" else stem)
-                if tail:
-                    if tail not in tails:
-                        tails[tail] = self._model(tail)
-                    coded += tails[tail]
-                out[i] = coded
-            elif whole:
-                rest.append((i, whole))
-        for i, coded in zip((i for i, _ in rest), self._encode([w for _, w in rest]), strict=True):
-            out[i] = coded
-        if self.cut == "spaces":
-            newline = self._encode(["\n"])[0]
-            out = [newline + x if w[0] == "\n" else x for w, x in zip(words, out, strict=True)]
-        return out
+        whole = self._whole(word)
+        coded = self.newline if self.cut == "spaces" and word[0] == "\n" else b""
+        if simple := _SIMPLE.fullmatch(whole):
+            stem, tail = simple.groups()
+            coded += self._model(stem.lower() if self.cut == "any" else stem)
+            if tail:
+                if tail not in self.tails:
+                    self.tails[tail] = self._model(tail)
+                coded += self.tails[tail]
+        elif whole:
+            coded += self._encode([whole])[0]
+        return coded
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         texts = ["" if t is None else t for t in texts]
-        split = [self._split(t) for t in texts]
-        known = self.known
-        new = list({w for s in split if s for w in s if w not in known})
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = list({w for s in split if s for w in s})
-        if new:
-            known.update(zip(new, self._encode_words(new), strict=True))
-        get = known.__getitem__
-        out = [None if s is None else b"".join(map(get, s)) for s in split]
-        if rest := [i for i, s in enumerate(split) if s is None]:
+        if len(self.known) > KEPT_WORDS:
+            self.known.clear()
+            self.tails.clear()
+        get = self.known.__getitem__
+        out, rest = [], []
+        for i, text in enumerate(texts):
+            split = self._split(text)
+            out.append(b"".join(map(get, split)) if split is not None else b"")
+            if split is None:
+                rest.append(i)
+        if rest:
             for i, coded in zip(rest, self._encode([texts[i] for i in rest]), strict=True):
                 out[i] = coded
         return out
 
 
+class _Known(dict):
+    """Ids by word; a word that is missing is encoded and kept."""
+
+    def __init__(self, owner: WordCoder):
+        self.owner = owner
+
+    def __missing__(self, word: str) -> bytes:
+        coded = self[word] = self.owner.encode_word(word)
+        return coded
+
+
 def coder(path: str, cut: str) -> WordCoder:
     """The worker's coder for a tokenizer file, made once."""
     if (path, cut) not in _CODERS:
