@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import codes, fingerprints, line_dedup, mixing, ngram_join, packing, quality, tokens, toxicity
+from shelfwise.llm import codes, fingerprints, line_dedup, mixing, ngram_join, packing, personal_data, quality, tokens, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(documents(spark, sf_dir))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.report(documents(spark, sf_dir))
+
+
 def op5_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.round_trip(documents(spark, sf_dir), tokens.vocabulary("word_bpe_49k.json"))
 
@@ -59,6 +63,7 @@ FROM k LEFT JOIN h ON key = heavy GROUP BY r, doc_id
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_ngram_join": op2_ngram_join,
+    "op4_personal_data": op4_personal_data,
     "op5_codes": op5_codes,
     "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,

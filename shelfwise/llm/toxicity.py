@@ -1,15 +1,15 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
 Features are hashed: each word (A-Z in lower case, cut at marks) and the first ``STEM`` bytes of
-each longer word, present or not. Grades are 0 (clean), 1 (toxic) and 2 (toxic and dense with
+each longer word, present or not. Grades are 0 (clean), 1 (toxic) and 2 (toxic with many
 markers). P(grade >= k) = sigmoid(w x - threshold_k) with one w for all thresholds; the severity
 is the expected grade, the sum of these probabilities. A document is rejected if P(grade >= 1)
-is at least ``REJECT``.
+is at least ``REJECT`` (low, since most clean texts have no marker at all).
 
 The model is fitted on at most ``SAMPLE`` labelled documents, drawn by a hash of their ids; the
 sample alone reaches the driver, as sorted feature numbers. Only features whose share differs
 clearly between the labels are used. Labels say toxic or not; a toxic document gets grade 2 if
-its markers are denser than in the middle one of all toxic documents of the sample.
+it has more different markers than the middle one of all toxic documents of the sample.
 
 Null and empty texts have no features and are clean. Labels with null id or value are left out.
 Without toxic labels all documents are clean. Repeated rows are documents of their own.
@@ -31,19 +31,21 @@ SAMPLE = 10_000
 BUCKETS = 1 << 24
 STEM = 5
 GRADES = 3
-REJECT = 0.5
+REJECT = 0.1
 #: A feature is used if the shares of toxic and clean documents that have it differ by so many standard errors ...
 CLEAR = 4.0
 #: ... and so many toxic documents have it.
 LEAST_TOXIC = 3
+#: ... or so large a share of them, if that is more ...
+LEAST_SHARE = 0.004
 #: ... and its share among them is so many times that among clean ones.
 RATIO = 3.0
 ROUNDS = 400
 PENALTY = 2e-5
 
 
-def features(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, feature) pairs, distinct and sorted, as two arrays; words of each text."""
+def features(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) pairs, distinct and sorted, as two arrays."""
     data, bounds = textvec.packed(texts)
     plain = _FOLD[data]
     found = textvec.words(plain, bounds)
@@ -55,7 +57,7 @@ def features(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         stem = (stem ^ plain[starts + k].astype(np.uint64)) * np.uint64(0x100000001B3)
     codes = np.concatenate([found.hashes, textvec.mix(stem)]) % np.uint64(BUCKETS)
     pairs = np.unique((np.concatenate([owner, owner[long]]).astype(np.uint64) << np.uint64(32)) | codes)
-    return (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64), found.counts
+    return (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 @dataclass
@@ -68,14 +70,46 @@ class Model:
         """P(grade >= k) for k from 1, a row for each text."""
         score = np.zeros(len(texts))
         if len(self.used):
-            owner, feature, _ = features(texts)
+            owner, feature = features(texts)
             at = np.minimum(np.searchsorted(self.used, feature), len(self.used) - 1)
             hit = self.used[at] == feature
             score += np.bincount(owner[hit], self.weights[at[hit]], len(texts))
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -60, 60)))
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int = GRADES, rounds: int = ROUNDS,
+def without_copies(rows: list[tuple[int, list[int]]]) -> list[tuple[int, list[int]]]:
+    """The rows that are no near copies of earlier ones, whose rare words would look like markers.
+
+    A copy shares half or more of eight MinHash values over its features that few rows have.
+    """
+    counts = np.array([len(f) for _, f in rows])
+    owner = np.repeat(np.arange(len(rows)), counts)
+    flat = np.concatenate([np.asarray(f, np.int64) for _, f in rows]) if len(rows) else np.zeros(0, np.int64)
+    _, place, times = np.unique(flat, return_inverse=True, return_counts=True)
+    rare = times[place] <= max(20, len(rows) // 100)
+    owner, flat = owner[rare], flat[rare].astype(np.uint64)
+    some, starts = np.unique(owner, return_index=True)
+    least = {}
+    for k in range(8):
+        values = np.minimum.reduceat(textvec.mix(flat + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2 ** 64)), starts) if len(some) else []
+        for i, v in zip(some, values, strict=True):
+            least.setdefault(int(i), []).append((k, int(v)))
+    seen: dict[tuple[int, int], list[int]] = {}
+    out = []
+    for i, row in enumerate(rows):
+        marks = least.get(i, [])
+        met: dict[int, int] = {}
+        for m in marks:
+            for j in seen.get(m, ()):
+                met[j] = met.get(j, 0) + 1
+        if max(met.values(), default=0) < 4:
+            out.append(row)
+            for m in marks:
+                seen.setdefault(m, []).append(i)
+    return out
+
+
+def fit_ordinal(x: np.ndarray, grade: np.ndarray, start_at: np.ndarray, grades: int = GRADES, rounds: int = ROUNDS,
                 penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds of most likelihood, by full-batch gradient steps (Adam)."""
     n, d = x.shape
@@ -83,7 +117,7 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int = GRADES, rounds:
     # Thresholds are a first one and positive steps, kept as logarithms.
     start = np.log([(1 - s) / s for s in share])
     steps = np.log(np.maximum(np.diff(start), 0.1))
-    at = np.concatenate([np.zeros(d), start[:1], steps])
+    at = np.concatenate([start_at, start[:1], steps])
     mean, square = np.zeros_like(at), np.zeros_like(at)
 
     def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -108,20 +142,21 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int = GRADES, rounds:
     return at[:d], at[d] + np.concatenate([[0], np.cumsum(np.exp(at[d + 1:]))])
 
 
-def train(rows: list[tuple[int, list[int], int]]) -> Model:
-    """Model of (toxic, feature numbers, words) rows."""
-    toxic = np.array([t for t, _, _ in rows], bool)
+def train(rows: list[tuple[int, list[int]]]) -> Model:
+    """Model of (toxic, feature numbers) rows."""
+    rows = without_copies(rows)
+    toxic = np.array([t for t, _ in rows], bool)
     none = Model(np.zeros(0, np.int64), np.zeros(0), np.full(GRADES - 1, 30.0))
     if not toxic.any() or toxic.all():
         return none
-    owner = np.repeat(np.arange(len(rows)), [len(f) for _, f, _ in rows])
-    feature, place = np.unique(np.concatenate([np.asarray(f, np.int64) for _, f, _ in rows]), return_inverse=True)
+    owner = np.repeat(np.arange(len(rows)), [len(f) for _, f in rows])
+    feature, place = np.unique(np.concatenate([np.asarray(f, np.int64) for _, f in rows]), return_inverse=True)
     a, b = int(toxic.sum()), int((~toxic).sum())
     bad = np.bincount(place[toxic[owner]], minlength=len(feature))
     good = np.bincount(place[~toxic[owner]], minlength=len(feature))
     pooled = (bad + good) / (a + b)
     error = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-9) * (1 / a + 1 / b))
-    clear = ((bad / a - good / b) / error >= CLEAR) & (bad >= LEAST_TOXIC) & (bad / a >= RATIO * good / b)
+    clear = ((bad / a - good / b) / error >= CLEAR) & (bad >= np.maximum(LEAST_TOXIC, LEAST_SHARE * a)) & (bad / a >= RATIO * good / b)
     if not clear.any():
         return none
     used = np.flatnonzero(clear)
@@ -132,10 +167,11 @@ def train(rows: list[tuple[int, list[int], int]]) -> Model:
     x[owner[hit], column[place[hit]]] = 1
     # Markers are features that clean documents hardly have.
     marker = (bad[used] / a > 5 * good[used] / b)
-    density = x[:, marker].sum(axis=1) / np.maximum([w for _, _, w in rows], 1)
-    middle = np.median(density[toxic])
-    grade = np.where(toxic, np.where(density > middle, 2, 1), 0)
-    weights, thresholds = fit_ordinal(x, grade)
+    markers = x[:, marker].sum(axis=1)
+    grade = np.where(toxic, np.where(markers > np.median(markers[toxic]), 2, 1), 0)
+    # From the log odds of each feature alone, so that one marker can be enough.
+    alone = np.log((bad[used] + 0.5) / (a + 1)) - np.log((good[used] + 0.5) / (b + 1))
+    weights, thresholds = fit_ordinal(x, grade, alone)
     return Model(feature[used], weights, thresholds)
 
 
@@ -150,14 +186,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for begin, end in textvec.pieces(texts):
-                owner, feature, words = features(texts[begin:end])
+                owner, feature = features(texts[begin:end])
                 ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=end - begin))])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(feature, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), lists, pa.array(words, pa.int64())],
-                                                 ["toxic", "features", "words"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), lists], ["toxic", "features"])
 
-    rows = texts.mapInArrow(run, "toxic int, features array<int>, words long").toArrow()
-    return train(list(zip(*(rows.column(c).to_pylist() for c in range(3)), strict=True)))
+    rows = texts.mapInArrow(run, "toxic int, features array<int>").toArrow()
+    return train(list(zip(*(rows.column(c).to_pylist() for c in range(2)), strict=True)))
 
 
 def graded(docs: DataFrame, model: Model) -> DataFrame:
