@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import codes, fingerprints, line_dedup, mixing, ngram_join, packing, personal_data, quality, tokens, toxicity
+from shelfwise.llm import codes, fingerprints, line_dedup, mixing, ngram_join, packing, personal_data, quality, suffix_dedup, tokens, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(documents(spark, sf_dir))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(documents(spark, sf_dir))
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.report(documents(spark, sf_dir))
 
@@ -60,9 +64,16 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (heavy IS NOT NULL AND doc_i
 FROM k LEFT JOIN h ON key = heavy GROUP BY r, doc_id
 """
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_ngram_join": op2_ngram_join,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_personal_data": op4_personal_data,
     "op5_codes": op5_codes,
     "op6_mixing": op6_mixing,
@@ -70,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_line_dedup": op10_line_dedup,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {"op10_line_dedup": OP10_SQL}
