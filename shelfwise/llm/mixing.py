@@ -111,9 +111,9 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def mix(docs: DataFrame, members: Column, keep: Sequence[Column] = (), weights: Sequence[float] = WEIGHTS,
+def mix(docs: DataFrame, members: Column, keep: Column, weights: Sequence[float] = WEIGHTS,
         seed: int = SEED) -> DataFrame:
-    """Per document: the columns ``keep``, size, members, routes and copies.
+    """Per document: row (the column ``keep``), size, members, routes and copies.
 
     ``routes`` has one (source, source_size, target, copies) for each source of the document;
     ``copies`` is their sum, at most ``MOST_COPIES``. Shuffles only a few numbers of each row.
@@ -121,7 +121,7 @@ def mix(docs: DataFrame, members: Column, keep: Sequence[Column] = (), weights:
     spark = docs.sparkSession
     text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     light = staged(docs.select(
-        *keep, word_count(F.col("text")).alias("_size"), F.array_sort(F.array_distinct(members)).alias("_members"),
+        keep.alias("_row"), word_count(F.col("text")).alias("_size"), F.array_sort(F.array_distinct(members)).alias("_members"),
         F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), text_hash).alias("_ticket")), "mixing")
     light = light.withColumn("_pattern", F.to_json("_members"))
     share = F.pmod(F.shiftright("_ticket", 20), F.lit(SHARES))
@@ -165,21 +165,20 @@ def mix(docs: DataFrame, members: Column, keep: Sequence[Column] = (), weights:
     routes = F.transform("_plan", lambda p: F.struct(
         p["source"].alias("source"), p["source_size"].alias("source_size"), p["target"].alias("target"),
         sum(((m >= p["begin"]) & (m < p["end"])).cast("int") for m in middle).alias("copies")))
-    return placed.select(*[c for c in light.columns if not c.startswith("_")], F.col("_size").alias("size"),
+    return placed.select(F.col("_row").alias("row"), F.col("_size").alias("size"),
                          F.col("_members").alias("members"), routes.alias("routes")).withColumn(
         "copies", F.aggregate("routes", F.lit(0), lambda a, r: a + r["copies"]))
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies for documents of one source each."""
-    out = mix(docs, F.array("source"), [F.col("doc_id").cast("long").alias("doc_id")])
+    out = mix(docs, F.array("source"), F.struct(F.col("doc_id").cast("long").alias("doc_id")))
     route = F.col("routes")[0]
-    return out.select("doc_id", "size", route["source_size"].alias("source_size"), route["target"].alias("target"),
+    return out.select("row.doc_id", "size", route["source_size"].alias("source_size"), route["target"].alias("target"),
                       (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The mixed corpus: the columns of ``docs``, each document as often as it is taken."""
-    keep = [F.col(c) for c in docs.columns]
-    out = mix(docs, F.array("source"), keep).filter(F.col("copies") > 0)
-    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
+    out = mix(docs, F.array("source"), F.struct(*[docs[c] for c in docs.columns])).filter(F.col("copies") > 0)
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select("row.*")

@@ -82,7 +82,7 @@ def without_copies(rows: list[tuple[int, list[int]]]) -> list[tuple[int, list[in
 
     A copy shares half or more of eight MinHash values over its features that few rows have.
     """
-    counts = np.array([len(f) for _, f in rows])
+    counts = np.array([len(f) for _, f in rows], np.int64)
     owner = np.repeat(np.arange(len(rows)), counts)
     flat = np.concatenate([np.asarray(f, np.int64) for _, f in rows]) if len(rows) else np.zeros(0, np.int64)
     _, place, times = np.unique(flat, return_inverse=True, return_counts=True)
@@ -149,7 +149,7 @@ def train(rows: list[tuple[int, list[int]]]) -> Model:
     none = Model(np.zeros(0, np.int64), np.zeros(0), np.full(GRADES - 1, 30.0))
     if not toxic.any() or toxic.all():
         return none
-    owner = np.repeat(np.arange(len(rows)), [len(f) for _, f in rows])
+    owner = np.repeat(np.arange(len(rows)), np.array([len(f) for _, f in rows], np.int64))
     feature, place = np.unique(np.concatenate([np.asarray(f, np.int64) for _, f in rows]), return_inverse=True)
     a, b = int(toxic.sum()), int((~toxic).sum())
     bad = np.bincount(place[toxic[owner]], minlength=len(feature))
