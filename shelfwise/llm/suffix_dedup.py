@@ -7,13 +7,14 @@ anchor lie in its context, at most LENGTH - GRAM bytes before it and LENGTH byte
 
 1. Anchor hashes are counted; those met once cannot repeat. The others are marked in a bitmap
    that goes to the tasks (up to ``MOST_MARKS`` bytes; beyond it they are joined by hash).
-2. Contexts at repeated anchors are gathered by anchor hash. Equal contexts are merged before
-   the shuffle, so a passage of a third of all documents is one row a batch.
-3. In a group the right sides of the contexts, and their reversed left sides, are ordered by
-   deep-shallow sorting: multikey quicksort to ``SHALLOW`` bytes, then a blind trie for every
-   group that is still tied. The common prefixes of neighbours give the match of any two
-   contexts around the anchor, and all matches of LENGTH bytes with an earlier context cover one
-   run of bytes around it.
+2. Hashes of the contexts at repeated anchors are gathered by anchor hash; all but the first of
+   equal contexts are covered. They are merged in each batch before the shuffle, so a passage
+   of a third of all documents is one row a batch.
+3. Where different contexts share an anchor hash their bytes are fetched. In such a group the
+   right sides, and the reversed left sides, are ordered by deep-shallow sorting: multikey
+   quicksort to ``SHALLOW`` bytes, then a blind trie for every group that is still tied. The
+   common prefixes of neighbours give the match of any two contexts around the anchor, and all
+   matches of LENGTH bytes with an earlier context cover one run of bytes around it.
 4. Groups with more contexts than ``HOT`` (and a millionth of all anchors) are spread by the
    content of each window instead; equal windows then meet, whatever surrounds them.
 
@@ -47,8 +48,8 @@ BLOCK = 1 << 20
 _LOW = np.uint64(BLOCK - 1)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-#: Bytes of contexts that a task sorts together, about.
-TOGETHER = 16 << 20
+#: What is known of documents goes to the tasks up to so many bytes; beyond it documents are shuffled to meet it.
+MOST_SENT = 32 << 20
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
@@ -156,11 +157,51 @@ def _windows(found: dict[str, np.ndarray], data: np.ndarray) -> dict[str, np.nda
     return out
 
 
-CONTEXTS = "kind int, gram long, _id long, _text_hash long, start long, size int, at int, bytes binary"
+CONTEXTS = "kind int, gram long, content long, _id long, _text_hash long, start long, size long, at int"
+_NAMES = [c.split()[0] for c in CONTEXTS.split(", ")]
+_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+CONTEXT, COVERED = 0, 1
+
+
+def _merged(doc: np.ndarray, text: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of each document, overlapping ones joined."""
+    order = np.lexsort((start, text, doc))
+    doc, text, start, end = doc[order], text[order], start[order], (start + size)[order]
+    other = np.ones(len(doc), bool)
+    other[1:] = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])
+    # Ends grow by document number, so that a running maximum never reaches into the next one.
+    shift = np.cumsum(other) * np.int64(1 << 40)
+    reach = np.maximum.accumulate(end + shift)
+    new = np.ones(len(doc), bool)
+    new[1:] = start[1:] + shift[1:] > reach[:-1]
+    opens = np.flatnonzero(new)
+    last = np.append(opens[1:], len(doc)) - 1
+    return doc[opens], text[opens], start[opens], reach[last] - shift[last] - start[opens]
+
+
+def _settled(gram: np.ndarray, content: np.ndarray, doc: np.ndarray, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows are the first of equal contexts (108 bits of hash), and which of the others are covered.
+
+    Equal rows (id and text) are one document.
+    """
+    order = np.lexsort((start, text, doc, content, gram))
+    g, c = gram[order], content[order]
+    first = np.ones(len(g), bool)
+    first[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
+    lead = order[np.flatnonzero(first)[np.cumsum(first) - 1]]
+    same = (doc[order] == doc[lead]) & (text[order] == text[lead]) & (start[order] == start[lead])
+    return order[first], order[~first & ~same]
+
+
+def _row_batch(kind: int, *columns) -> pa.RecordBatch:
+    n = len(columns[2])
+    full = [np.full(n, kind), *(np.zeros(n, np.int64) if c is None else c for c in columns)]
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32 if t == pa.int32() else np.int64)) for c, t in zip(full, _KINDS, strict=True)],
+                                      _NAMES)
 
 
 def contexts(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Contexts at repeated anchors (kind 0), and runs of bytes that a batch itself shows to be covered (kind 1)."""
+    """Contexts at repeated anchors, and runs of bytes that a batch itself shows to be covered; no text."""
     total = repeated.agg(F.count(F.lit(1)).alias("hashes"), F.sum("n").alias("n")).first()
     bound = max(HOT, (total.n or 0) // HOT_SHARE)
     hot = np.sort(np.array([r.gram for r in repeated.filter(F.col("n") > bound).select("gram").collect()], np.int64))
@@ -214,32 +255,81 @@ def contexts(docs: DataFrame, repeated: DataFrame) -> DataFrame:
                 if not len(found["gram"]):
                     continue
                 doc, text = ids[found["owner"] + begin], hashes[found["owner"] + begin]
-                # The first of equal contexts (108 bits of hash) stays, the rest is covered.
-                order = np.lexsort((found["start"], text, doc, found["content"], found["gram"]))
-                g, c = found["gram"][order], found["content"][order]
-                first = np.ones(len(g), bool)
-                first[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
-                # Equal rows (same id and text) are one document.
-                rank = np.flatnonzero(first)[np.cumsum(first) - 1]
-                same = (doc[order] == doc[order][rank]) & (text[order] == text[order][rank]) & \
-                       (found["start"][order] == found["start"][order][rank])
-                keep, gone = order[first], order[~first & ~same]
-                for kind, chosen in ((0, keep), (1, gone)):
-                    if not len(chosen):
-                        continue
-                    some = _select(found, chosen)
-                    b, n = some["begin"], some["size"]
-                    raw = data.tobytes() if not kind else b""
-                    cut = [raw[x:x + y] for x, y in zip(b.tolist(), n.tolist(), strict=True)] if not kind else [b""] * len(b)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(b), kind), pa.int32()), pa.array(some["gram"].astype(np.int64)), pa.array(doc[chosen]),
-                         pa.array(text[chosen]), pa.array(some["start"]), pa.array(n, pa.int32()), pa.array(some["at"], pa.int32()),
-                         pa.array(cut, pa.binary())],
-                        ["kind", "gram", "_id", "_text_hash", "start", "size", "at", "bytes"])
+                keep, gone = _settled(found["gram"], found["content"], doc, text, found["start"])
+                yield _row_batch(CONTEXT, found["gram"][keep], found["content"][keep].view(np.int64), doc[keep], text[keep],
+                                 found["start"][keep], found["size"][keep], found["at"][keep])
+                if len(gone):
+                    d, t, start, size = _merged(doc[gone], text[gone], found["start"][gone], found["size"][gone])
+                    yield _row_batch(COVERED, None, None, d, t, start, size, None)
 
     return rows.select("_id", "_text_hash", "text", "known").mapInArrow(run, CONTEXTS)
 
 
+def settled(found: DataFrame) -> DataFrame:
+    """Covered runs, and the contexts whose anchor hash has other contexts too.
+
+    One shuffle by anchor hash; a task goes through its groups one batch after the other.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def close(rows: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+            gram, content, doc, text, start, size, at = rows
+            keep, gone = _settled(gram, content, doc, text, start)
+            if len(gone):
+                yield _row_batch(COVERED, None, None, *_merged(doc[gone], text[gone], start[gone], size[gone]), None)
+            g = gram[keep]
+            several = np.zeros(len(g), bool)
+            several[1:] = g[1:] == g[:-1]
+            several[:-1] |= several[1:]
+            some = keep[several]
+            if len(some):
+                yield _row_batch(CONTEXT, gram[some], content[some], doc[some], text[some], start[some], size[some], at[some])
+
+        for batch in batches:
+            rows = tuple(batch.column(i).to_numpy() for i in range(7))
+            if not len(rows[0]):
+                continue
+            if held and held[-1][0][-1] == rows[0][-1]:
+                held.append(rows)
+                continue
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            held.append(tuple(c[:cut] for c in rows))
+            yield from close(tuple(np.concatenate(c) for c in zip(*held, strict=True)))
+            held = [tuple(c[cut:] for c in rows)]
+        if held:
+            yield from close(tuple(np.concatenate(c) for c in zip(*held, strict=True)))
+
+    return (found.filter(F.col("kind") == CONTEXT).select(*_NAMES[1:]).repartition("gram").sortWithinPartitions("gram")
+            .mapInArrow(run, CONTEXTS))
+
+
+def meeting(rows: DataFrame, known: DataFrame, how: str) -> DataFrame:
+    """Join documents with what is known of some of them, which goes to all tasks while it is small."""
+    size = known.agg(F.sum(F.size("known") * 32 + 64)).first()[0] or 0
+    return rows.join(F.broadcast(known) if size <= MOST_SENT else known, ["_id", "_text_hash"], how)
+
+
+def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The wanted contexts with their bytes."""
+    lists = wanted.groupBy("_id", "_text_hash").agg(F.collect_list(F.struct("gram", "start", "size", "at")).alias("known"))
+    rows = meeting(_rows(docs), staged(lists, "wanted-contexts"), "inner").select("_id", "_text_hash", "text", "known")
+    schema = "gram long, _id long, _text_hash long, start long, at int, bytes binary"
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, len(batch), 500):
+                out = []
+                for doc, text_hash, text, known in zip(*(c.to_pylist() for c in batch.slice(i, 500).columns), strict=True):
+                    data = (text or "").encode("utf-8", "surrogatepass")
+                    out += [(k["gram"], doc, text_hash, k["start"], k["at"], data[k["start"]:k["start"] + k["size"]]) for k in known]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)],
+                                                 [c.split()[0] for c in schema.split(", ")])
+
+    return rows.mapInArrow(run, schema)
+
+
 def common_prefix(a: bytes, b: bytes) -> int:
     n = min(len(a), len(b))
     x = int.from_bytes(a[:n], "big") ^ int.from_bytes(b[:n], "big")
@@ -396,11 +486,11 @@ def repeats(found: DataFrame) -> DataFrame:
             .mapInArrow(run, schema))
 
 
-def union_of(runs: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+def union_of(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal (begin, end) runs of the union of (start, size) runs."""
     out: list[list[int]] = []
     for start, size in sorted(runs):
-        end = min(n, start + size)
+        end = start + size
         if out and start <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
         else:
@@ -409,12 +499,25 @@ def union_of(runs: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
 
 
 def removal_runs(docs: DataFrame) -> DataFrame:
-    """_id, _text_hash, runs (start, size) of all documents with covered bytes."""
+    """_id, _text_hash, known: maximal covered (start, size) runs of all documents that have any."""
     repeated = staged(repeated_anchors(docs), "repeated-anchors")
-    found = staged(contexts(docs, repeated), "contexts")
-    runs = found.filter("kind = 1").select("_id", "_text_hash", "start", F.col("size").cast("long").alias("size")).unionByName(
-        repeats(found.filter("kind = 0")))
-    return runs.distinct().groupBy("_id", "_text_hash").agg(F.collect_list(F.struct("start", "size")).alias("runs"))
+    found = contexts(docs, repeated)
+    # What the batches covered and what the groups settle is written apart, the first pass is run for each.
+    own = staged(found.filter(F.col("kind") == COVERED).select("_id", "_text_hash", "start", "size"), "own-runs")
+    groups = staged(settled(found), "settled")
+    wanted = groups.filter(F.col("kind") == CONTEXT).select("gram", "_id", "_text_hash", "start", "size", "at")
+    runs = (own.unionByName(groups.filter(F.col("kind") == COVERED).select("_id", "_text_hash", "start", "size"))
+            .unionByName(repeats(fetched(docs, wanted))))
+    lists = runs.groupBy("_id", "_text_hash").agg(F.collect_list(F.struct("start", "size")).alias("runs"))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("size", pa.int64())]))
+        for batch in batches:
+            joined = [[{"start": a, "size": b - a} for a, b in union_of([(r["start"], r["size"]) for r in runs])]
+                      for runs in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(joined, kind)], ["_id", "_text_hash", "known"])
+
+    return staged(lists.mapInArrow(join, "_id long, _text_hash long, known array<struct<start: long, size: long>>"), "removal-runs")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -426,7 +529,7 @@ def report(docs: DataFrame) -> DataFrame:
             out = []
             for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 data = (text or "").encode("utf-8", "surrogatepass")
-                gone = union_of([(r["start"], r["size"]) for r in runs or ()], len(data))
+                gone = [(r["start"], r["start"] + r["size"]) for r in runs or ()]
                 kept, at = hashlib.sha256(), 0
                 for a, b in gone:
                     kept.update(data[at:a])
@@ -439,4 +542,4 @@ def report(docs: DataFrame) -> DataFrame:
                 [c.split()[0] for c in schema.split(", ")])
 
     whole = docs.select(*_row_key(), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return whole.join(removal_runs(docs), ["_id", "_text_hash"], "left").select("doc_id", "text", "runs").mapInArrow(run, schema)
+    return meeting(whole, removal_runs(docs), "left").select("doc_id", "text", "known").mapInArrow(run, schema)
