@@ -8,17 +8,20 @@ the rules for such rows have something to do.
 
 from __future__ import annotations
 
+import hashlib
+from dataclasses import replace
 from datetime import timedelta
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shelfwise import settings as S
 from shelfwise.functions.dates import as_day, pt_text
 from shelfwise.plans.rules_daily import RuleInputs
 from shelfwise.plans.similarity_daily import SimilarityInputs
-from shelfwise.session import staged
+from shelfwise.session import shared_folder, staged
 from shelfwise.sources.documents import category_nodes, potential_goods
+from shelfwise.sources.partitions import partition_list
 
 # The day and window all queries use; 60 days so that sales meet forecasts.
 AS_OF = "2001-06-30"
@@ -96,16 +99,23 @@ class Retail:
         return self.dynamic_days(0, 0)
 
     @cached_property
-    def forecast(self) -> DataFrame:
+    def latest_forecast(self) -> DataFrame:
         ahead = self.dynamic_days(1, DAYS).filter(F.col("sale") != S.UNKNOWN_SALE)
         return ahead.groupBy("goods_id").agg(F.sum("sale").cast("double").alias("prediction")).withColumn(
             "pt", F.lit(pt_text(AS_OF)))
 
+    @cached_property
+    def forecast(self) -> DataFrame:
+        """Two days of forecasts; the older one is different for every goods, so it must not be used."""
+        stale = self.latest_forecast.select(
+            "goods_id", (F.col("prediction") * 3 + 1).alias("prediction"), F.lit(pt_text(AS_OF, -1)).alias("pt"))
+        return staged(self.latest_forecast.unionByName(stale), "forecast")
+
     @cached_property
     def potential_raw(self) -> DataFrame:
         sold = self.recent.filter(F.col("sale") != S.UNKNOWN_SALE).groupBy("goods_id").agg(
             F.sum("sale").cast("double").alias("totalSale"))
-        promising = self.forecast.filter(F.col("prediction") >= PROMISING).select("goods_id")
+        promising = self.latest_forecast.filter(F.col("prediction") >= PROMISING).select("goods_id")
         return (promising.join(self.part.select("goods_id", "tags"), "goods_id")
                 .join(sold, "goods_id", "left")
                 .select(F.col("goods_id").alias("goodsId"), "tags", "totalSale"))
@@ -129,6 +139,41 @@ class Retail:
     def category_nodes(self) -> DataFrame:
         return category_nodes(self.base_category)
 
+    @cached_property
+    def tree_nodes(self) -> DataFrame:
+        """The categories and a platform of hard cases from the given tables.
+
+        Part sizes form one chain of up to 50 levels, with a leaf below each; nations are the
+        parents of one another in pairs; the parents of regions do not exist.
+        """
+        sizes = self.table("part").select("p_size").distinct()
+        before = F.lag("p_size").over(Window.orderBy("p_size"))  # at most 50 rows
+        deep, yes, no = F.lit("DEEP").alias("platform"), F.lit(True).alias("has_child"), F.lit(False).alias("has_child")
+        name = F.concat(F.lit("size "), F.col("p_size"))
+        chain = sizes.select(deep, name.alias("node"), F.coalesce(F.concat(F.lit("size "), before), F.lit(S.ROOT_PARENT)).alias("parent"),
+                             name.alias("text"), yes)
+        leaves = sizes.select(deep, F.lit("sized").alias("node"), name.alias("parent"), F.lit("sized").alias("text"), no)
+        nation, other = (F.concat(F.lit("nation "), c) for c in (F.col("n_nationkey"), F.col("n_nationkey").bitwiseXOR(1)))
+        cycles = self.table("nation").select(deep, nation.alias("node"), other.alias("parent"), F.col("n_name").alias("text"), yes)
+        orphans = self.table("region").select(deep, F.col("r_name").alias("node"), F.concat(F.lit("no "), "r_name").alias("parent"),
+                                              F.col("r_name").alias("text"), no)
+        return reduce(DataFrame.unionByName, [self.category_nodes, chain, leaves, cycles, orphans])
+
+    @cached_property
+    def dynamic_table(self) -> str:
+        """Name of a table of all days of the products, partitioned by day; made once for a session and folder."""
+        name = "shelfwise_dynamic_" + hashlib.sha256(
+            f"{self.spark.sparkContext.applicationId} {self.sf_dir}".encode()).hexdigest()[:16]
+        if not self.spark.catalog.tableExists(name):
+            path = f"{shared_folder(self.spark)}/shelfwise/{name}"
+            (self.goods_dynamic.select("goods_id", "sale", "amount", "state", "pt").repartition("pt").write
+             .partitionBy("pt").option("path", path).format("parquet").saveAsTable(name))
+        return name
+
+    @cached_property
+    def days(self) -> DataFrame:
+        return partition_list(self.spark, self.dynamic_table)
+
     @cached_property
     def followed_pairs(self) -> DataFrame:
         """Distinct (user, type, value) with the first order that shows it."""
@@ -180,10 +225,16 @@ class Retail:
     def rule_inputs(self) -> RuleInputs:
         """Inputs of the daily plan as stored tables, which is what a daily plan reads."""
         dynamic = staged(self.recent, "dynamic")
-        forecast = staged(self.forecast, "forecast")
+        forecast = self.forecast
         return RuleInputs(staged(self.focus, "focus"), staged(self.goods_static, "static"), dynamic,
                           forecast, staged(self.potential, "potential"), self.recommend)
 
+    @cached_property
+    def whole_rule_inputs(self) -> RuleInputs:
+        """The same with all days of the products, from which a plan reads its window."""
+        return replace(self.rule_inputs, goods_dynamic=staged(
+            self.goods_dynamic.filter(F.col("pt") <= AS_OF), "all-days"))
+
     @cached_property
     def similarity_inputs(self) -> SimilarityInputs:
         rule = self.rule_inputs

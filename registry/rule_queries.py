@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from registry.base import query
 from registry.bindings import AS_OF, DAYS, MIN_TAGS, Retail
+from shelfwise import settings as S
 from shelfwise.operators import follow, rules, sales
 from shelfwise.operators.catalog import category_explode
 from shelfwise.plans import rules_daily
-from shelfwise.session import staged
+from shelfwise.session import shared_folder, staged
+from shelfwise.sources import tables
 
 
 def sale_of(t: Retail) -> DataFrame:
@@ -40,13 +45,27 @@ def priorities_of(t: Retail) -> DataFrame:
     return rules_daily.rule_priorities(t.rule_inputs, AS_OF, DAYS, MIN_TAGS)
 
 
+def pair_mark() -> Column:
+    """A number that depends on the pair as a whole; its sum tells sets of pairs apart in any order."""
+    goods = F.coalesce(F.col("goods_id"), F.lit(-1))
+    user = F.when(F.col("user_id") == S.NEW_USER, 0).otherwise(F.col("user_id").try_cast("bigint"))
+    mixed = ((goods % 999_983 + 7) * (goods % 99_991 + 3) + user * 31) % 3_000_000_019
+    return F.sum(mixed * mixed % 1_000_003).alias("pair_marks")
+
+
+#: The same in SQL.
+PAIR_MARK = """CAST(sum((((coalesce(goods_id, -1) % 999983 + 7) * (coalesce(goods_id, -1) % 99991 + 3)
+        + (CASE WHEN user_id = 'newUser' THEN 0 ELSE CAST(user_id AS BIGINT) END) * 31) % 3000000019)
+        * (((coalesce(goods_id, -1) % 999983 + 7) * (coalesce(goods_id, -1) % 99991 + 3)
+        + (CASE WHEN user_id = 'newUser' THEN 0 ELSE CAST(user_id AS BIGINT) END) * 31) % 3000000019) % 1000003) AS BIGINT) AS pair_marks"""
+
+
 def per_user(pairs: DataFrame) -> DataFrame:
-    """Counts and key sums of a large pair result, over all its rows."""
-    return pairs.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_pairs"), F.sum("goods_id").alias("goods_sum"))
+    """Counts and an order-free mark of a large pair result, over all its rows."""
+    return pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_pairs"), pair_mark())
 
 
-PER_USER = "SELECT user_id, count(*) AS n_pairs, CAST(sum(goods_id) AS BIGINT) AS goods_sum FROM {} GROUP BY user_id"
+PER_USER = f"SELECT user_id, count(*) AS n_pairs, {PAIR_MARK} FROM {{}} GROUP BY user_id"
 
 
 @query("sale_window", "SELECT goods_id, sale FROM sale_only")
@@ -138,11 +157,6 @@ def tag_overlap_three(t: Retail) -> DataFrame:
     return overlap_of(t)
 
 
-@query("tag_overlap_any", "SELECT user_id, goods_id, support_by_tag FROM overlap_all")
-def tag_overlap_any(t: Retail) -> DataFrame:
-    return follow.tag_overlap(t.focus, t.day, min_tags=1)
-
-
 @query("tag_goods_top", "SELECT user_id, goods_id, support_by_tag, rank_sale, rank_prediction FROM tag_top")
 def tag_goods_top(t: Retail) -> DataFrame:
     return follow.tag_goods_top(staged(overlap_of(t), "overlap"), staged(sale_of(t), "sale"))
@@ -172,16 +186,14 @@ def labelled_evidence(t: Retail) -> DataFrame:
         *[F.sum(f"support_by_{name}").alias(name) for name in rules.EVIDENCE])
 
 
-@query("support_counts", """
-    SELECT total_support_goods, total_support_shop, total_support_category, total_support_tag,
-           total_support_history, count(*) AS n_pairs, CAST(sum(goods_id) AS BIGINT) AS goods_sum,
-           CAST(sum(CAST(user_id AS BIGINT)) AS BIGINT) AS user_sum
-    FROM support GROUP BY 1, 2, 3, 4, 5""")
+@query("support_counts", f"""
+    SELECT user_id, total_support_goods, total_support_shop, total_support_category, total_support_tag,
+           total_support_history, count(*) AS n_pairs, {PAIR_MARK}
+    FROM support GROUP BY 1, 2, 3, 4, 5, 6""")
 def support_counts(t: Retail) -> DataFrame:
     counts = rules.support_counts(*sources_of(t))
-    return counts.groupBy(*[f"total_support_{name}" for name in rules.EVIDENCE]).agg(
-        F.count(F.lit(1)).alias("n_pairs"), F.sum("goods_id").alias("goods_sum"),
-        F.sum(F.col("user_id").cast("bigint")).alias("user_sum"))
+    return counts.groupBy("user_id", *[f"total_support_{name}" for name in rules.EVIDENCE]).agg(
+        F.count(F.lit(1)).alias("n_pairs"), pair_mark())
 
 
 def candidates_of(t: Retail) -> DataFrame:
@@ -193,18 +205,17 @@ def candidates(t: Retail) -> DataFrame:
     return per_user(candidates_of(t))
 
 
-@query("fresh_candidates", """
-    SELECT user_id, support_by_potentialhot, count(*) AS n_pairs, CAST(sum(goods_id) AS BIGINT) AS goods_sum
+@query("fresh_candidates", f"""
+    SELECT user_id, support_by_potentialhot, count(*) AS n_pairs, {PAIR_MARK}
     FROM fresh_candidates GROUP BY user_id, support_by_potentialhot""")
 def fresh_candidates(t: Retail) -> DataFrame:
     stored = t.rule_inputs
     fresh = rules.fresh_candidates(candidates_of(t), stored.goods_static, stored.potential, AS_OF)
-    return fresh.groupBy("user_id", "support_by_potentialhot").agg(
-        F.count(F.lit(1)).alias("n_pairs"), F.sum("goods_id").alias("goods_sum"))
+    return fresh.groupBy("user_id", "support_by_potentialhot").agg(F.count(F.lit(1)).alias("n_pairs"), pair_mark())
 
 
-PRIORITY_SUMS = """
-    SELECT user_id, count(*) AS n_pairs, CAST(sum(goods_id) AS BIGINT) AS goods_sum,
+PRIORITY_SUMS = f"""
+    SELECT user_id, count(*) AS n_pairs, {PAIR_MARK},
            CAST(sum(priority_hot) AS BIGINT) AS hot_sum, sum(priority_potential) AS potential_sum,
            CAST(sum(sale) AS BIGINT) AS sale_sum, sum(prediction) AS prediction_sum
     FROM priorities GROUP BY user_id"""
@@ -212,8 +223,7 @@ PRIORITY_SUMS = """
 
 def priority_sums(rows: DataFrame) -> DataFrame:
     return rows.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_pairs"), F.sum("goods_id").alias("goods_sum"),
-        F.sum("priority_hot").alias("hot_sum"), F.sum("priority_potential").alias("potential_sum"),
+        F.count(F.lit(1)).alias("n_pairs"), pair_mark(), F.sum("priority_hot").alias("hot_sum"), F.sum("priority_potential").alias("potential_sum"),
         F.sum("sale").alias("sale_sum"), F.sum("prediction").alias("prediction_sum"))
 
 
@@ -258,19 +268,36 @@ def result_lists(t: Retail) -> DataFrame:
     return lists.select("user_id", "type", F.array_join("values", ",").alias("goods"))
 
 
+def written(t: Retail, run: Callable[[str], bool]) -> DataFrame:
+    """Run a daily job into a table of its own, and read the files that it wrote; the table's entry goes."""
+    name = f"shelfwise_run_{uuid.uuid4().hex}"
+    path = f"{shared_folder(t.spark)}/shelfwise/{name}"
+    schema = "user_id string, type string, `values` array<bigint>, pt string"
+    (t.spark.createDataFrame([], schema).write.partitionBy("pt").option("path", path).format("parquet").saveAsTable(name))
+    if not run(name):
+        raise ValueError("the result lacks a column of the table")
+    tables.drop_table_if_exists(t.spark, name)
+    return t.spark.read.schema(schema).parquet(path).select(
+        "user_id", "type", F.posexplode("values").alias("position", "goods_id"), "pt")
+
+
 def positions(lists: DataFrame) -> DataFrame:
     return lists.select("user_id", "type", F.posexplode("values").alias("position", "goods_id"))
 
 
-@query("newuser_fallback", """
-    SELECT user_id, type, count(*) AS slots, count(goods_id) AS filled FROM rule_result GROUP BY user_id, type""")
+@query("newuser_fallback", "SELECT user_id, type, position, goods_id FROM rule_result")
 def newuser_fallback(t: Retail) -> DataFrame:
     ranked = priorities_of(t)
-    lists = rules.newuser_fallback(rules.result_lists(rules.hot_list(ranked), rules.potential_list(ranked)))
-    return positions(lists).groupBy("user_id", "type").agg(
-        F.count(F.lit(1)).alias("slots"), F.count("goods_id").alias("filled"))
+    return positions(rules.newuser_fallback(rules.result_lists(rules.hot_list(ranked), rules.potential_list(ranked))))
 
 
 @query("rules_recommend", "SELECT user_id, type, position, goods_id FROM rule_result")
 def rules_recommend(t: Retail) -> DataFrame:
     return positions(rules_daily.rules_recommend(t.rule_inputs, AS_OF, DAYS, MIN_TAGS))
+
+
+@query("run_rules", "SELECT user_id, type, position, goods_id, '20010630' AS pt FROM rule_result WHERE goods_id IS NOT NULL")
+def run_rules(t: Retail) -> DataFrame:
+    """The daily job from all days of the products to the written partition, for the latest day."""
+    rows = written(t, lambda table: rules_daily.run_rules(t.whole_rule_inputs, None, table, days=DAYS, min_tags=MIN_TAGS))
+    return rows.filter(F.col("goods_id").isNotNull())

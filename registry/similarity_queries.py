@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from registry.base import query
 from registry.bindings import AS_OF, DAYS, Retail
-from registry.rule_queries import positions
+from registry.rule_queries import positions, written
 from shelfwise import settings as S
 from shelfwise.operators import hierarchy, merge, profile, rules, similarity
 from shelfwise.plans import similarity_daily
@@ -112,60 +114,52 @@ def user_profile(t: Retail) -> DataFrame:
 
 # Category trees.
 
-@query("category_closure", """
-    SELECT platform, node, parent, level, path FROM (
-        SELECT platform, node, parent, 1 AS level, node AS path FROM category_nodes WHERE parent = '0'
-        UNION ALL
-        SELECT c.platform, c.node, c.parent, 2, r.node || '>' || c.node FROM category_nodes c
-        JOIN category_nodes r ON r.platform = c.platform AND r.node = c.parent AND r.parent = '0')""")
+@query("category_closure", "SELECT platform, node, parent, level, array_to_string(path, '>') AS path FROM places")
 def category_closure(t: Retail) -> DataFrame:
-    return hierarchy.category_closure(t.category_nodes).select(
+    return hierarchy.category_closure(t.tree_nodes).select(
         "platform", "node", "parent", "level", F.array_join("path", ">").alias("path"))
 
 
 @query("unplaced_nodes", """
-    SELECT platform, node, parent FROM category_nodes c WHERE parent <> '0' AND NOT EXISTS (
-        SELECT 1 FROM category_nodes r WHERE r.platform = c.platform AND r.node = c.parent)""")
+    SELECT platform, node, parent FROM tree_nodes c WHERE NOT EXISTS (
+        SELECT 1 FROM places p WHERE p.platform = c.platform AND p.node = c.node AND p.parent = c.parent)""")
 def unplaced_nodes(t: Retail) -> DataFrame:
-    nodes = t.category_nodes
+    nodes = t.tree_nodes
     return hierarchy.unplaced_nodes(nodes, hierarchy.category_closure(nodes)).select("platform", "node", "parent")
 
 
 def asked_ids(t: Retail) -> DataFrame:
-    """Every category id that a user follows, and every part name, which is no category."""
+    """Every category id that a user follows, every id of a tree, and every part name, which is no category."""
     own = t.focus.filter(F.col("type") == S.FOCUS_CATEGORY).select(F.col("value").alias("id"))
     return own.unionByName(t.table("part").select(F.col("p_name").alias("id"))).unionByName(
-        t.table("part").select(F.col("p_type").alias("id")))
+        t.tree_nodes.select(F.col("node").alias("id")))
 
 
 ASKED = """(SELECT value AS id FROM focus WHERE type = 'category' UNION SELECT p_name FROM part
-            UNION SELECT p_type FROM part)"""
+            UNION SELECT node FROM tree_nodes)"""
 
 
 @query("category_min_level", f"""
     SELECT a.id, coalesce(m.level, -1) AS level FROM {ASKED} a LEFT JOIN min_level m ON m.node = a.id""")
 def category_min_level(t: Retail) -> DataFrame:
-    return hierarchy.category_min_level(hierarchy.category_closure(t.category_nodes), asked_ids(t))
+    return hierarchy.category_min_level(hierarchy.category_closure(t.tree_nodes), asked_ids(t))
 
 
 @query("category_levels", f"""
-    SELECT a.id, coalesce(CAST(m.level AS VARCHAR), '') AS levels
-    FROM {ASKED} a LEFT JOIN min_level m ON m.node = a.id""")
+    SELECT a.id, p.level, count(p.level) AS n FROM {ASKED} a LEFT JOIN places p ON p.node = a.id GROUP BY a.id, p.level""")
 def category_levels(t: Retail) -> DataFrame:
-    lists = hierarchy.category_levels(hierarchy.category_closure(t.category_nodes), asked_ids(t))
-    return lists.select("id", F.array_join("levels", ",").alias("levels"))
+    return hierarchy.category_levels(hierarchy.category_closure(t.tree_nodes), asked_ids(t))
 
 
 @query("category_find", f"""
-    SELECT c.platform, c.node, c.parent, c.text, c.has_child, m.level FROM category_nodes c
-    JOIN min_level m ON m.node = c.node WHERE c.node IN (SELECT id FROM {ASKED})""")
+    SELECT platform, node, parent, text, has_child, level FROM places WHERE node IN (SELECT id FROM {ASKED})""")
 def category_find(t: Retail) -> DataFrame:
-    return hierarchy.category_find(hierarchy.category_closure(t.category_nodes), asked_ids(t))
+    return hierarchy.category_find(hierarchy.category_closure(t.tree_nodes), asked_ids(t))
 
 
-@query("category_count", "SELECT count(*) AS n_nodes FROM category_nodes")
+@query("category_count", "SELECT count(*) AS n_nodes FROM places")
 def category_count(t: Retail) -> DataFrame:
-    return hierarchy.category_count(hierarchy.category_closure(t.category_nodes))
+    return hierarchy.category_count(hierarchy.category_closure(t.tree_nodes))
 
 
 @query("goods_depth", "SELECT goods_id, depth FROM wish_depth")
@@ -271,19 +265,18 @@ def top_similar_plain(t: Retail) -> DataFrame:
 
 
 @query("backfill", """
-    SELECT user_id, goods_id, CAST(position AS INTEGER) AS position FROM (
-        SELECT user_id, goods_id, row_number() OVER (PARTITION BY user_id ORDER BY tier, place) AS position FROM (
-            SELECT user_id, goods_id, 0 AS tier, position AS place FROM best WHERE type = 'hot' AND position <= 4
-            UNION ALL
-            SELECT u.user_id, d.goods_id, 1, d.position
-            FROM (SELECT DISTINCT user_id FROM best WHERE type = 'hot') u
-            CROSS JOIN (SELECT * FROM defaults WHERE type = 'hot') d
-            WHERE NOT EXISTS (SELECT 1 FROM best b WHERE b.type = 'hot' AND b.position <= 4
-                              AND b.user_id = u.user_id AND b.goods_id = d.goods_id))) WHERE position <= 15""")
+    SELECT user_id, goods_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY tier, place) AS INTEGER) AS position FROM (
+        SELECT user_id, goods_id, 0 AS tier, place FROM few_own
+        UNION ALL
+        SELECT user_id, goods_id, 1, place FROM (SELECT DISTINCT user_id FROM few_own) CROSS JOIN few
+        WHERE (user_id, goods_id) NOT IN (SELECT (user_id, goods_id) FROM few_own))""")
 def backfill(t: Retail) -> DataFrame:
-    pool = hot_of(t)
-    short = best_of(t, side_of(t), pool).filter(F.col("position") <= 4)
-    return similarity.backfill(short, similarity.default_goods(pool))
+    """Goods of a pool of nine that share a tag with the user, filled up with the rest of that pool."""
+    pool = staged(hot_of(t).filter(F.col("pool_rank") <= 9), "small-pool")
+    pairs = similarity.matched_pairs(frequency_of(t), pool)
+    order = Window.partitionBy("user_id").orderBy(F.desc("dot"), "goods_id")
+    own = pairs.select("user_id", "goods_id", F.row_number().over(order).alias("position"))
+    return similarity.backfill(own, similarity.default_goods(pool))
 
 
 @query("newuser_list", "SELECT 'newUser' AS user_id, goods_id, position FROM defaults WHERE type = 'hot'")
@@ -303,6 +296,13 @@ def similarity_recommend(t: Retail) -> DataFrame:
     return positions(similarity_daily.similarity_recommend(t.similarity_inputs, AS_OF, DAYS))
 
 
+@query("run_similarity", "SELECT user_id, type, position, goods_id, '20010630' AS pt FROM similar_result")
+def run_similarity(t: Retail) -> DataFrame:
+    """The daily job from all days of the products to the written partition, for the latest day."""
+    inputs = replace(t.similarity_inputs, goods_dynamic=t.whole_rule_inputs.goods_dynamic)
+    return written(t, lambda table: similarity_daily.run_similarity(inputs, None, table, days=DAYS))
+
+
 # Expansion, corpus counts and merging.
 
 @query("category_expand", """

@@ -133,11 +133,11 @@ def drop_table_if_exists(t: Retail) -> DataFrame:
 
 
 @query("export_table", """
-    SELECT goods_id, NULL AS sale, prediction, pt FROM forecast
-    UNION ALL SELECT goods_id, sale, NULL, pt FROM goods_dynamic WHERE pt BETWEEN '2001-05-02' AND '2001-06-30'""")
+    SELECT goods_id, NULL AS sale, prediction, pt FROM forecast_days
+    UNION ALL SELECT goods_id, sale, NULL, pt FROM goods_dynamic""")
 def export_table(t: Retail) -> DataFrame:
     folder = f"{shared_folder(t.spark)}/shelfwise/export-{uuid.uuid4().hex}"
-    dynamic = t.recent.select("goods_id", "sale", "pt")
+    dynamic = t.goods_dynamic.select("goods_id", "sale", "pt")
     tables.export_tables({"forecast": t.forecast, "goods_dynamic": dynamic}, folder, "json")
     forecast = t.spark.read.schema(t.forecast.schema).json(f"{folder}/forecast")
     back = t.spark.read.schema(dynamic.schema).json(f"{folder}/goods_dynamic")
@@ -148,7 +148,7 @@ def export_table(t: Retail) -> DataFrame:
     SELECT goods_id, sale, pt FROM goods_dynamic WHERE pt = (SELECT max(pt) FROM goods_dynamic)""")
 def export_latest_partition(t: Retail) -> DataFrame:
     path = f"{shared_folder(t.spark)}/shelfwise/export-{uuid.uuid4().hex}"
-    latest = tables.latest_partition(t.goods_dynamic).select("goods_id", "sale", "pt")
+    latest = tables.latest_partition(t.spark, t.dynamic_table).select("goods_id", "sale", "pt")
     tables.export_table(latest, path)
     return t.spark.read.parquet(path)
 
@@ -157,17 +157,17 @@ def export_latest_partition(t: Retail) -> DataFrame:
 
 @query("latest_pt", "SELECT replace(max(pt), '-', '') AS pt FROM goods_dynamic")
 def latest_pt(t: Retail) -> DataFrame:
-    return partitions.latest_pt(partitions.distinct_partitions(t.goods_dynamic))
+    return partitions.latest_pt(t.days)
 
 
 @query("latest_pt_as_spelled", "SELECT max(pt) AS pt FROM goods_dynamic")
 def latest_pt_as_spelled(t: Retail) -> DataFrame:
-    return partitions.latest_pt(partitions.distinct_partitions(t.goods_dynamic), normalise=False)
+    return partitions.latest_pt(t.days, normalise=False)
 
 
 @query("earliest_pt", "SELECT min(pt) AS pt FROM goods_dynamic")
 def earliest_pt(t: Retail) -> DataFrame:
-    return partitions.earliest_pt(partitions.distinct_partitions(t.goods_dynamic))
+    return partitions.earliest_pt(t.days)
 
 
 @query("partition_list", "SELECT DISTINCT pt FROM recommend")
@@ -179,22 +179,22 @@ def partition_list(t: Retail) -> DataFrame:
     SELECT bool_or(pt > '2001-06-29' AND pt <= '2001-06-30') AS found FROM goods_dynamic""")
 def has_partition_between(t: Retail) -> DataFrame:
     return partitions.has_partition_between(
-        partitions.distinct_partitions(t.goods_dynamic), "2001-06-29", "2001-06-30")
+        t.days, "2001-06-29", "2001-06-30")
 
 
 @query("has_partition_starts_with", "SELECT bool_or(starts_with(pt, '2001-07')) AS found FROM goods_dynamic")
 def has_partition_starts_with(t: Retail) -> DataFrame:
-    return partitions.has_partition_starts_with(partitions.distinct_partitions(t.goods_dynamic), "2001-07")
+    return partitions.has_partition_starts_with(t.days, "2001-07")
 
 
 @query("has_partition", "SELECT bool_or(pt = '2003-01-01') AS found FROM goods_dynamic")
 def has_partition(t: Retail) -> DataFrame:
-    return partitions.has_partition(partitions.distinct_partitions(t.goods_dynamic), "2003-01-01")
+    return partitions.has_partition(t.days, "2003-01-01")
 
 
 @query("nearest_partition_before", "SELECT max(pt) AS pt FROM goods_dynamic WHERE pt < '2001-06-30'")
 def nearest_partition_before(t: Retail) -> DataFrame:
-    return partitions.nearest_partition_before(partitions.distinct_partitions(t.goods_dynamic), AS_OF)
+    return partitions.nearest_partition_before(t.days, AS_OF)
 
 
 # Date and array functions.
@@ -203,21 +203,21 @@ def nearest_partition_before(t: Retail) -> DataFrame:
     SELECT DISTINCT pt, strftime(CAST(pt AS DATE) - 6, '%Y%m%d') AS six_before,
            strftime(CAST(pt AS DATE) + 3, '%Y-%m-%d') AS three_after FROM goods_dynamic""")
 def shift_pt(t: Retail) -> DataFrame:
-    return partitions.distinct_partitions(t.goods_dynamic).select(
+    return t.days.select(
         "pt", dates.shift_pt("pt", -6).alias("six_before"),
         dates.shift_pt("pt", 3, dates.DASHED).alias("three_after"))
 
 
 @query("pt_to_date", "SELECT DISTINCT pt, replace(pt, '-', '') AS respelled FROM goods_dynamic")
 def pt_to_date(t: Retail) -> DataFrame:
-    return partitions.respelled(partitions.distinct_partitions(t.goods_dynamic))
+    return partitions.respelled(t.days)
 
 
 @query("pt_diff", """
     SELECT DISTINCT pt, CAST(datediff('day', CAST(pt AS DATE), DATE '2001-06-30') AS DOUBLE) AS days
     FROM goods_dynamic""")
 def pt_diff(t: Retail) -> DataFrame:
-    return partitions.distinct_partitions(t.goods_dynamic).select(
+    return t.days.select(
         "pt", dates.pt_diff("pt", F.lit(AS_OF)).alias("days"))
 
 
@@ -231,12 +231,12 @@ def relative_pt(t: Retail) -> DataFrame:
 
 
 @query("array_to_vector", """
-    SELECT goods_id, sale + 0.5 AS first, amount AS second FROM goods_dynamic WHERE pt = '2001-06-30' AND NOT isnan(amount)""")
+    SELECT goods_id, pt, sale + 0.5 AS first, amount AS second FROM goods_dynamic WHERE NOT isnan(amount)""")
 def array_to_vector(t: Retail) -> DataFrame:
     values = F.array(F.col("sale") + F.lit(0.5).cast("double"), F.col("amount"))
-    vectors = sales.known_amount(t.day).select("goods_id", arrays.array_to_vector(values).alias("v"))
+    vectors = sales.known_amount(t.goods_dynamic).select("goods_id", "pt", arrays.array_to_vector(values).alias("v"))
     back = arrays.vector_to_array("v")
-    return vectors.select("goods_id", F.get(back, F.lit(0)).alias("first"), F.get(back, F.lit(1)).alias("second"))
+    return vectors.select("goods_id", "pt", F.get(back, F.lit(0)).alias("first"), F.get(back, F.lit(1)).alias("second"))
 
 
 @query("to_array", "SELECT goods_id, 1 AS size, shop_id AS element FROM goods_static")
@@ -274,16 +274,16 @@ def typed_focus_goods(t: Retail) -> DataFrame:
 
 @query("valid_sale", """
     SELECT goods_id, sale, pt FROM goods_dynamic
-    WHERE sale < 2147483647 AND state = '' AND pt BETWEEN '2001-05-02' AND '2001-06-30'""")
+    WHERE sale < 2147483647 AND state = ''""")
 def valid_sale(t: Retail) -> DataFrame:
-    return sales.valid_sale(t.recent).select("goods_id", "sale", "pt")
+    return sales.valid_sale(t.goods_dynamic).select("goods_id", "sale", "pt")
 
 
 @query("valid_sale_any_state", """
     SELECT goods_id, sale, pt FROM goods_dynamic
-    WHERE sale <> 2147483647 AND pt BETWEEN '2001-05-02' AND '2001-06-30'""")
+    WHERE sale <> 2147483647""")
 def valid_sale_any_state(t: Retail) -> DataFrame:
-    return sales.valid_sale(t.recent, None).select("goods_id", "sale", "pt")
+    return sales.valid_sale(t.goods_dynamic, None).select("goods_id", "sale", "pt")
 
 
 @query("known_amount", "SELECT goods_id, amount, pt FROM goods_dynamic WHERE NOT isnan(amount)")
@@ -306,6 +306,6 @@ def category_explode_platform(t: Retail) -> DataFrame:
     return catalog.category_explode(t.goods_static, "WISH")
 
 
-@query("tags_explode", "SELECT goods_id, unnest(tags) AS tag FROM day")
+@query("tags_explode", "SELECT goods_id, pt, unnest(tags) AS tag FROM goods_dynamic")
 def tags_explode(t: Retail) -> DataFrame:
-    return t.day.select("goods_id", F.explode("tags").alias("tag"))
+    return t.goods_dynamic.select("goods_id", "pt", F.explode("tags").alias("tag"))

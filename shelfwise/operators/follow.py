@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise import settings as S
 from shelfwise.functions.arrays import typed_id
-from shelfwise.operators.groups import dense_ranks, fan_out
-from shelfwise.session import small_enough, staged
-
-DAY_TAG_ROWS = 500_000
+from shelfwise.operators.groups import dense_ranks
+from shelfwise.session import staged
 
 
 def followed(focus: DataFrame, kind: str, name: str, like: DataFrame | None = None) -> DataFrame:
@@ -31,7 +29,7 @@ def _listed(category_top: DataFrame) -> DataFrame:
 def category_follow_goods(focus: DataFrame, category_top: DataFrame) -> DataFrame:
     """Top goods of the followed categories, distinct pairs."""
     categories = followed(focus, S.FOCUS_CATEGORY, "category").distinct()
-    return fan_out(categories, _listed(category_top), "category").select("user_id", "goods_id").distinct()
+    return categories.join(_listed(category_top), "category").select("user_id", "goods_id").distinct()
 
 
 def goods_follow_categories(focus: DataFrame, goods_category: DataFrame) -> DataFrame:
@@ -68,30 +66,23 @@ def user_top_categories(focus: DataFrame, goods_category: DataFrame, k: int = S.
 def goods_follow_goods(top_categories: DataFrame, category_top: DataFrame) -> DataFrame:
     """Top goods of a user's own categories, distinct; a user without any has a null goods."""
     own = top_categories.select("user_id", "category").distinct()
-    return fan_out(own, _listed(category_top), "category", "left").select("user_id", "goods_id").distinct()
+    return own.join(_listed(category_top), "category", "left").select("user_id", "goods_id").distinct()
 
 
-def tag_overlap(focus: DataFrame, day: DataFrame, min_tags: int = S.MIN_SHARED_TAGS,
-                max_day_rows: int = DAY_TAG_ROWS) -> DataFrame:
+def tag_overlap(focus: DataFrame, day: DataFrame, min_tags: int = S.MIN_SHARED_TAGS) -> DataFrame:
     """Goods of one day that carry at least ``min_tags`` followed tags of a user.
 
     A goods row counts a tag once. Followed tags that no goods carries count for a null
-    goods. A day counted and found small is sent to every task and matched user by user;
-    a user's work is then bounded by the day. A larger day goes through ``prefix_overlap``.
+    goods. Tags are joined first and counted by (user, goods) afterwards, with partial
+    sums; nothing is dealt out by user, and Spark splits tags or pairs that are hot.
     """
-    tags = followed(focus, S.FOCUS_TAG, "tag").groupBy("user_id", "tag").agg(
-        F.count(F.lit(1)).alias("times"))
+    tags = staged(followed(focus, S.FOCUS_TAG, "tag").groupBy("user_id", "tag").agg(
+        F.count(F.lit(1)).alias("times")), "followed-tags")
     carried = staged(day.select("goods_id", F.explode(F.array_distinct("tags")).alias("tag")).groupBy(
         "goods_id", "tag").agg(F.count(F.lit(1)).alias("rows")), "carried-tags")
-    hits = F.sum(F.col("times") * F.col("rows")).alias("support_by_tag")
-    if small_enough(carried, max_day_rows):
-        tasks = 2 * int(focus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spread = tags.repartition(tasks, "user_id")
-        counted = spread.join(F.broadcast(carried), "tag").groupBy("user_id", "goods_id").agg(hits)
-    else:
-        pairs = prefix_overlap(tags, carried, min_tags)
-        counted = (pairs.join(carried, "goods_id").join(tags, ["user_id", "tag"])
-                   .groupBy("user_id", "goods_id").agg(hits))
+    pairs = prefix_overlap(tags, carried, min_tags)
+    counted = (pairs.join(carried, "goods_id").join(tags, ["user_id", "tag"]).groupBy("user_id", "goods_id")
+               .agg(F.sum(F.col("times") * F.col("rows")).alias("support_by_tag")))
     unmet = (tags.join(carried.select("tag").distinct(), "tag", "left_anti").groupBy("user_id")
              .agg(F.sum("times").alias("support_by_tag"))
              .withColumn("goods_id", F.lit(None).cast(day.schema["goods_id"].dataType)))

@@ -2,7 +2,7 @@
 
 A plain ``dense_rank`` window sends every tied row of a key to one task, and a plain
 ``collect_list`` builds one row per key however long it gets. The helpers here rank
-distinct values instead of rows, and split long lists into numbered parts.
+distinct values instead of rows, and divide lists into a given number of parts.
 """
 
 from __future__ import annotations
@@ -11,8 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwise.session import small_enough
-
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys meet; the key columns of ``left`` are kept."""
@@ -24,20 +22,6 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def fan_out(users: DataFrame, goods: DataFrame, on: str, how: str = "inner") -> DataFrame:
-    """Join user rows with goods rows that multiply them.
-
-    If the goods side was counted and is small, it is sent to every task and the user rows
-    are dealt out evenly, whatever their keys, so the many result rows arise evenly too.
-    Otherwise Spark shuffles both sides and splits hot keys.
-    """
-    if not small_enough(goods):
-        return users.join(goods, on, how)
-    # More tasks than the default, since the result outgrows both inputs.
-    tasks = 2 * int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return users.repartition(tasks).join(F.broadcast(goods), on, how)
-
-
 def dense_ranks(df: DataFrame, keys: Sequence[str], value: str, rank: str, k: int | None = None) -> DataFrame:
     """Add the dense rank of ``value`` (descending, nulls last) within ``keys``.
 
@@ -62,21 +46,12 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: i
     return df.withColumn(position, F.row_number().over(window)).filter(F.col(position) <= k)
 
 
-def in_parts(items: DataFrame, keys: Sequence[str], spread_by: Sequence[str], max_items: int,
-             weight: str | None = None, part: str = "part") -> DataFrame:
-    """Number the rows of each key so that no (key, part) has far more than ``max_items``.
+def in_parts(items: DataFrame, spread_by: Sequence[str], parts: int, part: str = "part") -> DataFrame:
+    """Number the rows of every key alike from 0 to ``parts`` - 1, by the hash of ``spread_by``.
 
-    Keys within the bound get part 0. Larger ones are spread by the hash of
-    ``spread_by``, which must tell their rows apart. ``weight`` names a column that says
-    for how many items a row stands.
+    The caller chooses how many rows a long list has; the shape never follows the data.
     """
-    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    large = (items.groupBy(*keys).agg(size.alias("_n"))
-             .filter(F.col("_n") > max_items)
-             .withColumn("_parts", F.ceil(F.col("_n") / max_items)).drop("_n"))
-    spread = F.pmod(F.xxhash64(*spread_by), F.col("_parts"))
-    return (null_safe_join(items, large, keys, "left")
-            .withColumn(part, F.coalesce(spread, F.lit(0)).cast("int")).drop("_parts"))
+    return items.withColumn(part, F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int"))
 
 
 def in_pieces(counted: DataFrame, max_items: int, copies: str = "copies") -> DataFrame:

@@ -2,34 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise import settings as S
 from shelfwise.session import lineage_cut
 
 
-def category_closure(nodes: DataFrame, max_depth: int = S.MAX_TREE_DEPTH) -> DataFrame:
+def category_closure(nodes: DataFrame) -> DataFrame:
     """Every place of every node below a root: level (root = 1) and path of ids.
 
     One join per level, each level written to the checkpoint folder, until a level is
-    empty. A node already on its own path is not placed again, so cycles end.
+    empty, however deep the tree. A node already on its own path is not placed again, so
+    cycles end.
     """
-    child = nodes.select("platform", "node", "parent", "text", "has_child")
-    level = child.filter(F.col("parent") == S.ROOT_PARENT).select(
-        "*", F.lit(1).alias("level"), F.array("node").alias("path"))
-    level = lineage_cut(level)
-    placed = level
-    for depth in range(2, max_depth + 1):
-        above = level.select("platform", F.col("node").alias("parent"), "path")
-        level = (child.filter(F.col("parent") != S.ROOT_PARENT).join(above, ["platform", "parent"])
-                 .filter(~F.array_contains("path", F.col("node")))
-                 .select("platform", "node", "parent", "text", "has_child", F.lit(depth).alias("level"),
-                         F.array_append("path", F.col("node")).alias("path")))
-        level = lineage_cut(level)
-        if level.isEmpty():
-            break
-        placed = placed.unionByName(level)
-    return placed
+    child = lineage_cut(nodes.select("platform", "node", "parent", "text", "has_child"))
+    below = child.filter(F.col("parent") != S.ROOT_PARENT)
+    level = lineage_cut(child.filter(F.col("parent") == S.ROOT_PARENT).select(
+        "*", F.lit(1).alias("level"), F.array("node").alias("path")))
+    levels = [level]
+    while not level.isEmpty():
+        above = level.select("platform", F.col("node").alias("parent"), F.col("level").alias("_above"), "path")
+        level = lineage_cut(below.join(above, ["platform", "parent"])
+                            .filter(~F.array_contains("path", F.col("node")))
+                            .select("platform", "node", "parent", "text", "has_child", (F.col("_above") + 1).alias("level"),
+                                    F.array_append("path", F.col("node")).alias("path")))
+        levels.append(level)
+    return reduce(DataFrame.unionByName, levels[:-1] or levels)
 
 
 def unplaced_nodes(nodes: DataFrame, closure: DataFrame) -> DataFrame:
@@ -51,17 +51,10 @@ def category_min_level(closure: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def category_levels(closure: DataFrame, ids: DataFrame) -> DataFrame:
-    """All levels of each asked id, ascending; empty when it is in no tree.
-
-    Levels are counted per value first, so a list holds runs of at most the tree depth.
-    """
+    """Levels of each asked id with the number of its places there; null and 0 when it is in no tree."""
     wanted = ids.select(F.col("id")).distinct()
     counted = closure.groupBy(F.col("node").alias("id"), "level").agg(F.count(F.lit(1)).alias("n"))
-    runs = counted.groupBy("id").agg(F.flatten(F.transform(
-        F.array_sort(F.collect_list(F.struct("level", "n"))),
-        lambda r: F.array_repeat(r["level"], r["n"].cast("int")))).alias("levels"))
-    return wanted.join(runs, "id", "left").select(
-        "id", F.coalesce("levels", F.array().cast("array<int>")).alias("levels"))
+    return wanted.join(counted, "id", "left").select("id", "level", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def category_find(closure: DataFrame, ids: DataFrame) -> DataFrame:

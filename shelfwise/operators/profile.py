@@ -53,34 +53,34 @@ def user_tag_frequency(tags: DataFrame, goods_tags: DataFrame, shop_tags: DataFr
             .groupBy("user_id", "tag").agg(F.count(F.lit(1)).alias("n")))
 
 
-def user_tag_list(tags: DataFrame, max_items: int = S.MAX_LIST_ITEMS) -> DataFrame:
-    """Tags per user with repeats, nulls skipped; long lists continue in further parts.
+def user_tag_list(tags: DataFrame, parts: int = S.LIST_PARTS) -> DataFrame:
+    """Tags per user with repeats, nulls skipped, in ``parts`` rows per user.
 
     Repeats are counted before the exchange and written out again inside the list.
     """
     counted = tags.groupBy("user_id", "tag").agg(F.count(F.lit(1)).alias("copies"))
-    spread = in_parts(in_pieces(counted, max_items), ["user_id"], ["tag", "piece"], max_items, "copies")
+    spread = in_parts(in_pieces(counted, S.MAX_COPIES), ["tag", "piece"], parts)
     repeated = F.when(F.col("tag").isNotNull(), F.array_repeat("tag", F.col("copies")))
     return spread.groupBy("user_id", "part").agg(
         F.array_sort(F.flatten(F.collect_list(repeated))).alias("tags"))
 
 
-def user_goods_set(pairs: DataFrame, max_items: int = S.MAX_LIST_ITEMS) -> DataFrame:
-    """Distinct goods per user, long sets continued in further parts."""
+def user_goods_set(pairs: DataFrame, parts: int = S.LIST_PARTS) -> DataFrame:
+    """Distinct goods per user, in ``parts`` rows."""
     distinct = pairs.filter(F.col("goods_id").isNotNull()).select("user_id", "goods_id").distinct()
-    spread = in_parts(distinct, ["user_id"], ["goods_id"], max_items)
+    spread = in_parts(distinct, ["goods_id"], parts)
     return spread.groupBy("user_id", "part").agg(collected("goods_id").alias("goods"))
 
 
-def history_list(recent: DataFrame, max_items: int = S.MAX_LIST_ITEMS) -> DataFrame:
+def history_list(recent: DataFrame, parts: int = S.LIST_PARTS) -> DataFrame:
     """Recently shown goods per user, repeats kept."""
     rows = recent.withColumnRenamed("goods_id", "tag")
-    return user_tag_list(rows, max_items).withColumnRenamed("tags", "goods")
+    return user_tag_list(rows, parts).withColumnRenamed("tags", "goods")
 
 
-def user_profile(frequency: DataFrame, pairs: DataFrame, max_items: int = S.MAX_LIST_ITEMS) -> DataFrame:
+def user_profile(frequency: DataFrame, pairs: DataFrame, parts: int = S.LIST_PARTS) -> DataFrame:
     """Tag frequencies and goods of every user that has either."""
-    spread = in_parts(frequency, ["user_id"], ["tag"], max_items)
+    spread = in_parts(frequency, ["tag"], parts)
     tags = spread.groupBy("user_id", "part").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("tag", "n")))).alias("tags"))
-    return tags.join(user_goods_set(pairs, max_items), ["user_id", "part"], "full")
+    return tags.join(user_goods_set(pairs, parts), ["user_id", "part"], "full")

@@ -8,6 +8,7 @@ from shelfwise import settings as S
 from shelfwise.functions.arrays import append_missing, fill_slots
 from shelfwise.functions.dates import on_sale_less_than, pt_text
 from shelfwise.operators.groups import dense_ranks, first_rows, lists_of
+from shelfwise.session import staged
 
 EVIDENCE = ["goods", "shop", "category", "tag", "history"]
 
@@ -125,6 +126,20 @@ def potential_list(priorities: DataFrame, k: int = S.LIST_LENGTH, min_hot: float
     return _ranked(rest.filter(F.col("priority_hot") > min_hot), "priority_potential", k)
 
 
+def both_lists(priorities: DataFrame, k: int = S.LIST_LENGTH, min_hot: float = S.MIN_HOT,
+               min_potential: float = S.MIN_POTENTIAL) -> tuple[DataFrame, DataFrame]:
+    """``hot_list`` and ``potential_list`` of pairs that all have a hot priority above ``min_hot``.
+
+    Ranked once; what neither list can hold is gone before the result is stored.
+    """
+    ranked = dense_ranks(priorities.filter(F.col("priority_hot") > min_hot), ["user_id"], "priority_hot", "rank")
+    useful = staged(ranked.filter((F.col("rank") <= k) | (F.col("priority_potential") >= min_potential)).select(
+        "user_id", "goods_id", "rank", "priority_potential"), "ranked")
+    hot = useful.filter(F.col("rank") <= k).select("user_id", "goods_id", "rank")
+    rest = useful.filter(F.col("rank") > k).drop("rank")
+    return hot, _ranked(rest, "priority_potential", k)
+
+
 def result_lists(hot: DataFrame, potential: DataFrame, k: int = S.LIST_LENGTH) -> DataFrame:
     """Lists per user and type, ordered by rank then goods, cut at k."""
     rows = hot.withColumn("type", F.lit(S.HOT)).unionByName(

@@ -103,20 +103,26 @@ def best_matches(frequency: DataFrame, pool: DataFrame, extra: DataFrame, n: int
                  max_pool_tags: int = POOL_TAG_ROWS) -> DataFrame:
     """The n best goods per user among those that share a tag.
 
-    A pool whose tag rows were counted and found few is sent to every task and scored there
-    for whole batches of users. Any other pool is joined by tag, summed and ranked by Spark.
+    A pool whose goods and tag rows were counted and found few is sent to every task, which
+    leaves all but the pairs close to each user's n best. Any other pool is joined by tag and
+    summed by Spark. Both ways end in the same score expression and order.
     """
-    tag_rows = pool.select(F.explode("tags"))
-    if small_enough(tag_rows, max_pool_tags):
-        # More tasks than the default, since scoring outweighs the size of the tag rows.
-        tasks = 2 * int(frequency.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return best_in_small_pool(known_users(frequency, extra), pool, pool_order(), n, tasks)
+    known = known_users(frequency, extra)
+    # Goods without tags count as one row, so the bound holds for goods and tags alike.
+    if small_enough(pool.select(F.explode_outer("tags")), max_pool_tags):
+        tags = pool.select(F.explode("tags").alias("tag")).distinct()
+        near = best_in_small_pool(known.join(tags, "tag", "left_semi"), pool, pool_order(), n)
+        return first_rows(_scored_pairs(near), ["user_id"], best_order(), n).drop("position")
+    pairs = _scored_pairs(matched_pairs(frequency, pool, extra, ["depth", "sale"]))
+    return first_rows(pairs, ["user_id"], best_order(), n).drop("position")
+
+
+def _scored_pairs(pairs: DataFrame) -> DataFrame:
+    """The score of pairs, by one expression whatever way the pairs were found."""
     sim = similarity_column(F.col("dot"), F.col("squares"), F.col("n_tags"))
     distance = distance_column(F.col("depth_sum"), F.col("n_goods"), F.col("depth"))
-    pairs = matched_pairs(frequency, pool, extra, ["depth", "sale"]).select(
-        "user_id", "goods_id", F.col("sale").cast("double").alias("sale"),
-        score_column(sim, distance).alias("score"))
-    return first_rows(pairs, ["user_id"], best_order(), n).drop("position")
+    return pairs.select("user_id", "goods_id", F.col("sale").cast("double").alias("sale"),
+                        score_column(sim, distance).alias("score"))
 
 
 def tag_similarity(frequency: DataFrame, pool: DataFrame) -> DataFrame:

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from shelfwise import settings as S
 from shelfwise.functions.dates import pt_text
 from shelfwise.operators import follow, rules, sales
 from shelfwise.operators.catalog import category_explode
 from shelfwise.session import staged
-from shelfwise.sources.partitions import read_partitions
+from shelfwise.sources.partitions import day_to_run, read_partitions
 from shelfwise.sources.tables import save_partition_table
 
 
@@ -68,19 +69,49 @@ def rule_priorities(inputs: RuleInputs, as_of: str, days: int = S.SALE_DAYS,
         found, inputs.goods_static, inputs.potential, sale, as_of), "priorities")
 
 
+def listable_pairs(inputs: RuleInputs, as_of: str, sale: DataFrame, min_tags: int = S.MIN_SHARED_TAGS,
+                   distinct_first: bool = False, min_hot: float = S.MIN_HOT) -> DataFrame:
+    """Priorities of the candidates that a list can hold, by goods reduced before they meet users.
+
+    Both lists ask for fresh goods with a hot priority above ``min_hot``, which depends on the
+    goods alone. Ranks among goods are taken first, so no rank shifts.
+    """
+    usable = staged(rules.fresh_with_flag(inputs.goods_static, inputs.potential, as_of).join(
+        sale.filter(F.col("sale") > min_hot).select("goods_id", "sale", "prediction"), "goods_id"), "usable-goods")
+    ids = usable.select("goods_id")
+    listed = category_explode(inputs.goods_static)
+    top = staged(sales.category_top(sale, listed, inputs.goods_static, as_of).join(ids, "goods_id", "left_semi"), "category-top")
+    own = follow.user_top_categories(inputs.focus, listed, distinct_first=distinct_first)
+    day = read_partitions(inputs.goods_dynamic, pt_text(as_of, dashed=True))
+    overlap = staged(follow.tag_overlap(inputs.focus, day, min_tags), "overlap")
+    sources = (
+        follow.goods_follow_goods(own, top),
+        follow.shop_follow_goods(inputs.focus, inputs.goods_static.join(ids, "goods_id", "left_semi")),
+        follow.category_follow_goods(inputs.focus, top),
+        follow.tag_goods_top(overlap, sale).join(ids, "goods_id", "left_semi"),
+    )
+    pairs = reduce(DataFrame.unionByName, [p.select("user_id", "goods_id") for p in sources]).filter(
+        F.col("goods_id").isNotNull()).distinct()
+    shown = rules.recent_pairs(inputs.recommend, as_of).distinct()
+    found = pairs.join(shown, ["user_id", "goods_id"], "left_anti").unionByName(
+        sales.newuser_pool(sale, inputs.goods_static, as_of).select("user_id", "goods_id"))
+    return staged(rules.scored(found.withColumn("total_support", F.lit(1)).join(usable, "goods_id")), "priorities")
+
+
 def rules_recommend(inputs: RuleInputs, as_of: str, days: int = S.SALE_DAYS,
                     min_tags: int = S.MIN_SHARED_TAGS, k: int = S.LIST_LENGTH,
                     distinct_first: bool = False, dedupe_fallback: bool = False) -> DataFrame:
     """Hot and potential list of every user, each with exactly k slots."""
-    ranked = rule_priorities(inputs, as_of, days, min_tags, distinct_first)
-    lists = rules.result_lists(rules.hot_list(ranked, k), rules.potential_list(ranked, k), k)
-    return rules.newuser_fallback(lists, k, dedupe_fallback)
+    sale = rule_sale(inputs, as_of, days)
+    hot, potential = rules.both_lists(listable_pairs(inputs, as_of, sale, min_tags, distinct_first), k)
+    return rules.newuser_fallback(rules.result_lists(hot, potential, k), k, dedupe_fallback)
 
 
-def run_rules(inputs: RuleInputs, as_of: str, table: str, **options) -> bool:
+def run_rules(inputs: RuleInputs, as_of: str | None, table: str, **options) -> bool:
     """Compute the day's lists and write them as the day's partition of ``table``.
 
-    The result is staged first: it may depend on earlier partitions of the same table.
+    ``as_of=None`` takes the latest day of the products; a day they lack is refused. The result is staged first: it may depend on earlier partitions of the same table.
     """
+    as_of = day_to_run(inputs.goods_dynamic, as_of)
     result = staged(rules_recommend(inputs, as_of, **options), "recommend")
     return save_partition_table(result, table, pt_text(as_of))

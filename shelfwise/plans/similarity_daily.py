@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from shelfwise import settings as S
 from shelfwise.functions.dates import pt_text
 from shelfwise.operators import follow, hierarchy, profile, sales, similarity
 from shelfwise.operators.catalog import category_explode
 from shelfwise.session import staged
-from shelfwise.sources.partitions import read_partitions
+from shelfwise.sources.partitions import day_to_run, read_partitions
 from shelfwise.sources.tables import save_partition_table
 
 
@@ -55,7 +55,9 @@ def user_side(inputs: SimilarityInputs, as_of: str, days: int = S.SALE_DAYS,
     sources = (profile.user_tags(inputs.focus), profile.user_goods_tags(inputs.focus, day),
                profile.user_shop_tags(inputs.focus, shop_hot))
     frequency = staged(profile.user_tag_frequency(*sources), "frequency")
-    tagged = profile.tag_sources(*sources).select("user_id")
+    # The tag sources keep every followed row, so their users are those who follow such a thing.
+    kinds = [S.FOCUS_GOODS, S.FOCUS_SHOP, S.FOCUS_TAG]
+    tagged = inputs.focus.filter(F.col("type").isin(kinds)).select("user_id")
     if not category_distance:
         return UserSide(staged(tagged.distinct(), "users"), frequency, None, None)
     closure = hierarchy.category_closure(inputs.category_nodes)
@@ -90,7 +92,11 @@ def similarity_recommend(inputs: SimilarityInputs, as_of: str, days: int = S.SAL
     return lists[0].unionByName(lists[1])
 
 
-def run_similarity(inputs: SimilarityInputs, as_of: str, table: str, **options) -> bool:
-    """Compute the day's lists and write them as the day's partition of ``table``."""
+def run_similarity(inputs: SimilarityInputs, as_of: str | None, table: str, **options) -> bool:
+    """Compute the day's lists and write them as the day's partition of ``table``.
+
+    ``as_of=None`` takes the latest day of the products; a day they lack is refused.
+    """
+    as_of = day_to_run(inputs.goods_dynamic, as_of)
     result = staged(similarity_recommend(inputs, as_of, **options), "recommend")
     return save_partition_table(result, table, pt_text(as_of))

@@ -34,6 +34,7 @@ MIN_HOT = 10
 MIN_POTENTIAL = 100
 POTENTIAL_BONUS = 100
 
-# Ours: bounds that keep rows and loops finite.
-MAX_TREE_DEPTH = 20
-MAX_LIST_ITEMS = 100_000
+# Ours: into how many rows every long list is divided, for all keys alike.
+LIST_PARTS = 1
+# Ours: copies of one value that a list row holds in one piece.
+MAX_COPIES = 100_000

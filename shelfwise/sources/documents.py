@@ -57,9 +57,9 @@ def category_nodes(base_category: DataFrame) -> DataFrame:
     )
 
 
-def nodes_by_platform(nodes: DataFrame, max_items: int = S.MAX_LIST_ITEMS) -> DataFrame:
-    """Node lists per platform, a long list split over several ``part`` rows."""
-    items = in_parts(nodes, ["platform"], ["node", "parent"], max_items)
+def nodes_by_platform(nodes: DataFrame, parts: int = S.LIST_PARTS) -> DataFrame:
+    """Node lists per platform, each in ``parts`` rows."""
+    items = in_parts(nodes, ["node", "parent"], parts)
     return items.groupBy("platform", "part").agg(
         collected(F.struct("node", "parent", "text", "has_child")).alias("nodes"))
 

@@ -25,6 +25,24 @@ def distinct_partitions(table: DataFrame) -> DataFrame:
     return table.select("pt").distinct()
 
 
+def latest_rows(table: DataFrame, pt: str | None = None) -> DataFrame:
+    """Rows of the given or else the greatest partition. Its name is looked up first, among the names
+    alone, so that the scan is pruned by a literal. An empty table stays as it is."""
+    name = pt if pt is not None else table.agg(F.max("pt")).first()[0]
+    return table if name is None else table.filter(F.col("pt") == name)
+
+
+def day_to_run(table: DataFrame, as_of: str | None = None) -> str:
+    """The given day, which must be a partition of the table, or its latest one; with dashes."""
+    if as_of is None:
+        as_of = as_value(latest_pt(distinct_partitions(table), normalise=False))
+        if as_of is None:
+            raise ValueError("the table has no partition")
+    elif not as_value(has_partition(distinct_partitions(table), as_of)):
+        raise ValueError(f"the table has no partition {as_of}")
+    return as_of
+
+
 def _spelling(normalise: bool):
     return F.replace(F.col("pt"), F.lit("-"), F.lit("")) if normalise else F.col("pt")
 

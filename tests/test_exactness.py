@@ -23,9 +23,8 @@ def world(spark):
             spark.createDataFrame(goods, "goods_id bigint, tags array<string>"), focus, goods)
 
 
-@pytest.mark.parametrize("max_day_rows", [10_000, 0])
 @pytest.mark.parametrize("min_tags", [1, 3, 5, 9])
-def test_overlap_equals_membership_count(world, rows, min_tags, max_day_rows):
+def test_overlap_equals_membership_count(world, rows, min_tags):
     focus_df, day_df, focus, goods = world
     counts = {}
     for user, _, tag in focus:
@@ -33,7 +32,7 @@ def test_overlap_equals_membership_count(world, rows, min_tags, max_day_rows):
         for g in hits:
             counts[user, g] = counts.get((user, g), 0) + 1
     wanted = sorted(((u, g, n) for (u, g), n in counts.items() if n >= min_tags), key=repr)
-    got = follow.tag_overlap(focus_df, day_df, min_tags, max_day_rows).select("user_id", "goods_id", "support_by_tag")
+    got = follow.tag_overlap(focus_df, day_df, min_tags).select("user_id", "goods_id", "support_by_tag")
     assert rows(got) == wanted
 
 
@@ -92,9 +91,16 @@ def test_ranks_of_a_hot_tied_key_do_not_meet_in_one_task(spark):
     assert "HashAggregate" in window and "WindowGroupLimit" in window
 
 
-def test_parts_are_bounded(spark):
+def test_parts_follow_the_parameter_alone(spark):
     items = spark.range(10_000).select(F.when(F.col("id") < 5_000, "hot").otherwise(
         F.col("id").cast("string")).alias("k"), "id")
-    sizes = groups.in_parts(items, ["k"], ["id"], 100).groupBy("k", "part").count()
+    sizes = groups.in_parts(items, ["id"], 50).groupBy("k", "part").count()
     assert sizes.agg(F.max("count"), F.sum("count")).first()[1] == 10_000
     assert sizes.agg(F.max("count")).first()[0] < 200
+    assert {r.part for r in groups.in_parts(items, ["id"], 1).select("part").distinct().collect()} == {0}
+
+
+def test_pools_with_many_untagged_goods_are_counted_as_they_are(spark):
+    pool = spark.range(3000).select(F.col("id").alias("goods_id"), F.when(F.col("id") < 3, F.array(F.lit("t"))).alias("tags"),
+                                    F.col("id").cast("double").alias("sale"), F.lit(0).alias("depth"))
+    assert similarity.small_enough(pool.select(F.explode_outer("tags")), 2000) is False

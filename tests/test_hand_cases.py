@@ -124,8 +124,8 @@ def test_category_tree(spark, rows):
     closure = hierarchy.category_closure(nodes)
     ids = spark.createDataFrame([("x",), ("q",), ("orphan",), ("zz",)], "id string")
     assert rows(hierarchy.category_min_level(closure, ids)) == [("orphan", -1), ("q", 1), ("x", 2), ("zz", -1)]
-    levels = {r.id: r.levels for r in hierarchy.category_levels(closure, ids).collect()}
-    assert levels == {"x": [2, 3], "q": [1], "orphan": [], "zz": []}
+    assert rows(hierarchy.category_levels(closure, ids)) == [
+        ("orphan", None, 0), ("q", 1, 1), ("x", 2, 1), ("x", 3, 1), ("zz", None, 0)]
     assert rows(hierarchy.unplaced_nodes(nodes, closure).select("node")) == [("c1",), ("c2",), ("orphan",)]
     assert hierarchy.category_count(closure).first()[0] == 5
     assert hierarchy.category_find(closure, ids).count() == 3
@@ -174,14 +174,33 @@ def test_merge_records(spark, rows):
         "two", 0, "a", ["y", "y"], [1, 2, 2])
 
 
-def test_long_lists_continue_in_parts(spark):
+def test_deep_trees_have_no_limit(spark):
+    nodes = spark.createDataFrame([("P", str(i), str(i - 1), "", True) for i in range(1, 28)], NODES)
+    closure = hierarchy.category_closure(nodes)
+    assert sorted(r.level for r in closure.collect()) == list(range(1, 28))
+    assert hierarchy.unplaced_nodes(nodes, closure).count() == 0
+
+
+def test_forecast_and_day_are_the_latest_ones(spark, rows):
+    sale = spark.createDataFrame([(1, 5)], "goods_id bigint, sale bigint")
+    forecast = spark.createDataFrame([(1, 2.0, "20010629"), (1, 3.0, "20010630")], "goods_id bigint, prediction double, pt string")
+    assert rows(sales.sale_with_forecast(sale, forecast)) == [(1, 5, 3.0)]
+    assert rows(sales.sale_with_forecast(sale, forecast, "20010629")) == [(1, 5, 2.0)]
+    assert rows(sales.sale_with_forecast(sale, forecast.filter("false"))) == [(1, 5, None)]
+    assert partitions.day_to_run(forecast) == "20010630"
+    with pytest.raises(ValueError, match="no partition"):
+        partitions.day_to_run(forecast, "20010701")
+
+
+def test_lists_are_divided_alike(spark):
     tags = spark.createDataFrame([("hot", f"t{i % 50}") for i in range(1000)] + [("cold", "t1"), ("empty", None)],
                                  "user_id string, tag string")
-    lists = profile.user_tag_list(tags, max_items=100).collect()
+    lists = profile.user_tag_list(tags, parts=3).collect()
     hot = [r.tags for r in lists if r.user_id == "hot"]
     assert len(hot) > 1 and sorted(sum(hot, [])) == sorted(f"t{i % 50}" for i in range(1000))
     assert [r.tags for r in lists if r.user_id == "cold"] == [["t1"]]
     assert [r.tags for r in lists if r.user_id == "empty"] == [[]]
+    assert {r.part for r in profile.user_tag_list(tags).collect()} == {0}
 
 
 def test_expanded_user_tags_equals_the_composition(spark, rows):
