@@ -31,14 +31,10 @@ SAMPLE = 10_000
 BUCKETS = 1 << 24
 STEM = 5
 GRADES = 3
-REJECT = 0.1
-#: A feature is used if the shares of toxic and clean documents that have it differ by so many standard errors ...
-CLEAR = 4.0
-#: ... and so many toxic documents have it.
-LEAST_TOXIC = 3
-#: ... or so large a share of them, if that is more ...
-LEAST_SHARE = 0.004
-#: ... and its share among them is so many times that among clean ones.
+REJECT = 0.3
+#: A feature is used if that many of the documents that have it would be toxic by chance with at most this probability ...
+CHANCE = 1e-3
+#: ... and its share among toxic documents is so many times that among clean ones.
 RATIO = 3.0
 ROUNDS = 400
 PENALTY = 2e-5
@@ -77,36 +73,35 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -60, 60)))
 
 
-def without_copies(rows: list[tuple[int, list[int]]]) -> list[tuple[int, list[int]]]:
-    """The rows that are no near copies of earlier ones, whose rare words would look like markers.
+def without_copies(counts: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """Which rows are no near copies of earlier ones, whose rare words would look like markers.
 
-    A copy shares half or more of eight MinHash values over its features that few rows have.
+    Row i has the next ``counts[i]`` of the features ``flat``. A copy shares half or more of
+    eight MinHash values over its features that few rows have.
     """
-    counts = np.array([len(f) for _, f in rows], np.int64)
-    owner = np.repeat(np.arange(len(rows)), counts)
-    flat = np.concatenate([np.asarray(f, np.int64) for _, f in rows]) if len(rows) else np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(counts)), counts)
     _, place, times = np.unique(flat, return_inverse=True, return_counts=True)
-    rare = times[place] <= max(20, len(rows) // 100)
+    rare = times[place] <= max(20, len(counts) // 100)
     owner, flat = owner[rare], flat[rare].astype(np.uint64)
     some, starts = np.unique(owner, return_index=True)
-    least = {}
+    least: dict[int, list[tuple[int, int]]] = {}
     for k in range(8):
         values = np.minimum.reduceat(textvec.mix(flat + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2 ** 64)), starts) if len(some) else []
-        for i, v in zip(some, values, strict=True):
-            least.setdefault(int(i), []).append((k, int(v)))
+        for i, v in zip(some.tolist(), values, strict=True):
+            least.setdefault(i, []).append((k, int(v)))
     seen: dict[tuple[int, int], list[int]] = {}
-    out = []
-    for i, row in enumerate(rows):
+    kept = np.ones(len(counts), bool)
+    for i in range(len(counts)):
         marks = least.get(i, [])
         met: dict[int, int] = {}
         for m in marks:
             for j in seen.get(m, ()):
                 met[j] = met.get(j, 0) + 1
-        if max(met.values(), default=0) < 4:
-            out.append(row)
+        kept[i] = max(met.values(), default=0) < 4
+        if kept[i]:
             for m in marks:
                 seen.setdefault(m, []).append(i)
-    return out
+    return kept
 
 
 def fit_ordinal(x: np.ndarray, grade: np.ndarray, start_at: np.ndarray, grades: int = GRADES, rounds: int = ROUNDS,
@@ -142,27 +137,31 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, start_at: np.ndarray, grades:
     return at[:d], at[d] + np.concatenate([[0], np.cumsum(np.exp(at[d + 1:]))])
 
 
-def train(rows: list[tuple[int, list[int]]]) -> Model:
-    """Model of (toxic, feature numbers) rows."""
-    rows = without_copies(rows)
-    toxic = np.array([t for t, _ in rows], bool)
+def train(toxic: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> Model:
+    """Model of rows with a label and the next ``counts[i]`` of the features ``flat`` each."""
+    kept = without_copies(counts, flat)
+    flat = flat[np.repeat(kept, counts)]
+    toxic, counts = toxic[kept], counts[kept]
     none = Model(np.zeros(0, np.int64), np.zeros(0), np.full(GRADES - 1, 30.0))
     if not toxic.any() or toxic.all():
         return none
-    owner = np.repeat(np.arange(len(rows)), np.array([len(f) for _, f in rows], np.int64))
-    feature, place = np.unique(np.concatenate([np.asarray(f, np.int64) for _, f in rows]), return_inverse=True)
+    owner = np.repeat(np.arange(len(toxic)), counts)
+    feature, place = np.unique(flat, return_inverse=True)
     a, b = int(toxic.sum()), int((~toxic).sum())
     bad = np.bincount(place[toxic[owner]], minlength=len(feature))
     good = np.bincount(place[~toxic[owner]], minlength=len(feature))
-    pooled = (bad + good) / (a + b)
-    error = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-9) * (1 / a + 1 / b))
-    clear = ((bad / a - good / b) / error >= CLEAR) & (bad >= np.maximum(LEAST_TOXIC, LEAST_SHARE * a)) & (bad / a >= RATIO * good / b)
+    # Chernoff's bound on the chance that so many of a feature's documents are toxic.
+    n, base = bad + good, a / (a + b)
+    share = bad / n
+    with np.errstate(divide="ignore", invalid="ignore"):
+        away = np.where(good > 0, (1 - share) * np.log((1 - share) / (1 - base)), 0) + np.where(bad > 0, share * np.log(share / base), 0)
+    clear = (n * away >= -np.log(CHANCE)) & (bad / a >= RATIO * good / b)
     if not clear.any():
         return none
     used = np.flatnonzero(clear)
     column = np.full(len(feature), -1)
     column[used] = np.arange(len(used))
-    x = np.zeros((len(rows), len(used)), np.float32)
+    x = np.zeros((len(toxic), len(used)), np.float32)
     hit = column[place] >= 0
     x[owner[hit], column[place[hit]]] = 1
     # Markers are features that clean documents hardly have.
@@ -172,7 +171,7 @@ def train(rows: list[tuple[int, list[int]]]) -> Model:
     # From the log odds of each feature alone, so that one marker can be enough.
     alone = np.log((bad[used] + 0.5) / (a + 1)) - np.log((good[used] + 0.5) / (b + 1))
     weights, thresholds = fit_ordinal(x, grade, alone)
-    return Model(feature[used], weights, thresholds)
+    return Model(feature[used].astype(np.int64), weights, thresholds)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -192,7 +191,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), lists], ["toxic", "features"])
 
     rows = texts.mapInArrow(run, "toxic int, features array<int>").toArrow()
-    return train(list(zip(*(rows.column(c).to_pylist() for c in range(2)), strict=True)))
+    lists = rows.column(1).combine_chunks()
+    return train(rows.column(0).to_numpy().astype(bool), np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy())
 
 
 def graded(docs: DataFrame, model: Model) -> DataFrame:
