@@ -204,15 +204,20 @@ def verified(groups: DataFrame, block: int = BLOCK) -> DataFrame:
             .mapInArrow(run, schema))
 
 
-def linked_rows(docs: DataFrame) -> DataFrame:
-    """One row for each row of ``docs``: _id, _text_hash, set, class (least set), text_links, links, copies.
+NO_ID = -(1 << 63)
+
+
+def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` (_id, _text_hash, set), and every set: class (its least set), text_links, links,
+    copies, least_id (without null ids) and row, its first row.
 
     links counts all other documents at or above the threshold, equal sets included; text_links
     counts other shingle sets.
     """
     light = staged(banded(docs), "banded")
     sets = staged(light.groupBy("set").agg(
-        F.first("bands").alias("bands"), F.count(F.lit(1)).alias("docs"), F.min(F.struct("_id", "_text_hash")).alias("row")), "sets")
+        F.first("bands").alias("bands"), F.count(F.lit(1)).alias("docs"), F.min(F.struct("_id", "_text_hash")).alias("row"),
+        F.min(F.when(F.col("_id") != NO_ID, F.col("_id"))).alias("least_id")), "sets")
     buckets = sets.select("set", F.explode("bands").alias("bucket"))
     hubs = (buckets.groupBy("bucket").agg(F.min("set").alias("v"), F.max("set").alias("_max"))
             .filter(F.col("v") != F.col("_max")).select("bucket", "v"))
@@ -238,25 +243,26 @@ def linked_rows(docs: DataFrame) -> DataFrame:
     ties = components(found.select(F.col("set").alias("u"), F.col("root").alias("v")))
     links = (found.groupBy("set").agg(F.sum("text_links").alias("text_links"), F.sum("links").alias("links"))
              .join(ties.select(F.col("node").alias("set"), F.col("component").alias("class")), "set", "left"))
-    per_set = sets.select("set", "docs").join(links, "set", "left").select(
+    per_set = sets.select("set", "docs", "row", "least_id").join(links, "set", "left").select(
         "set", F.coalesce("class", "set").alias("class"), F.coalesce("text_links", F.lit(0)).alias("text_links"),
-        (F.coalesce("links", F.lit(0)) + F.col("docs") - 1).alias("links"), F.col("docs").alias("copies"))
-    return light.select("_id", "_text_hash", "set").join(per_set, "set")
+        (F.coalesce("links", F.lit(0)) + F.col("docs") - 1).alias("links"), F.col("docs").alias("copies"), "least_id", "row")
+    # Stored, so that the join with the rows is of two plain tables and a set of many copies can be split.
+    return light.select("_id", "_text_hash", "set"), staged(per_set, "linked-sets")
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (least doc_id of the class), n_links, n_text_links, n_copies of every document."""
-    rows = staged(linked_rows(docs), "linked")
-    null = F.lit(-(1 << 63))
-    least = rows.groupBy("class").agg(F.min(F.when(F.col("_id") != null, F.col("_id"))).alias("class_id"))
-    return rows.join(least, "class").select(
-        F.when(F.col("_id") != null, F.col("_id")).alias("doc_id"), "class_id", F.col("links").alias("n_links"),
+    rows, sets = linked_sets(docs)
+    least = sets.groupBy("class").agg(F.min("least_id").alias("class_id"))
+    known = staged(sets.join(least, "class").select("set", "class_id", "links", "text_links", "copies"), "set-classes")
+    return rows.join(known, "set").select(
+        F.when(F.col("_id") != NO_ID, F.col("_id")).alias("doc_id"), "class_id", F.col("links").alias("n_links"),
         F.col("text_links").alias("n_text_links"), F.col("copies").alias("n_copies"))
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """The columns of ``docs``; of each class the row with the least doc_id (null first), ties by text hash, stays."""
-    rows = linked_rows(docs)
-    keep = rows.groupBy("class").agg(F.min(F.struct("_id", "_text_hash")).alias("row")).select("row._id", "row._text_hash")
+    _, sets = linked_sets(docs)
+    keep = sets.groupBy("class").agg(F.min("row").alias("row")).select("row._id", "row._text_hash")
     whole = docs.select(*_row_key(), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     return whole.join(keep, ["_id", "_text_hash"]).dropDuplicates(["_id", "_text_hash"]).select("_row.*")
