@@ -48,8 +48,6 @@ BLOCK = 1 << 20
 _LOW = np.uint64(BLOCK - 1)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-#: What is known of documents goes to the tasks up to so many bytes; beyond it documents are shuffled to meet it.
-MOST_SENT = 32 << 20
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
@@ -304,16 +302,10 @@ def settled(found: DataFrame) -> DataFrame:
             .mapInArrow(run, CONTEXTS))
 
 
-def meeting(rows: DataFrame, known: DataFrame, how: str) -> DataFrame:
-    """Join documents with what is known of some of them, which goes to all tasks while it is small."""
-    size = known.agg(F.sum(F.size("known") * 32 + 64)).first()[0] or 0
-    return rows.join(F.broadcast(known) if size <= MOST_SENT else known, ["_id", "_text_hash"], how)
-
-
 def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The wanted contexts with their bytes."""
     lists = wanted.groupBy("_id", "_text_hash").agg(F.collect_list(F.struct("gram", "start", "size", "at")).alias("known"))
-    rows = meeting(_rows(docs), staged(lists, "wanted-contexts"), "inner").select("_id", "_text_hash", "text", "known")
+    rows = _rows(docs).join(staged(lists, "wanted-contexts"), ["_id", "_text_hash"]).select("_id", "_text_hash", "text", "known")
     schema = "gram long, _id long, _text_hash long, start long, at int, bytes binary"
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
@@ -542,4 +534,5 @@ def report(docs: DataFrame) -> DataFrame:
                 [c.split()[0] for c in schema.split(", ")])
 
     whole = docs.select(*_row_key(), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return meeting(whole, removal_runs(docs), "left").select("doc_id", "text", "known").mapInArrow(run, schema)
+    return (whole.join(removal_runs(docs), ["_id", "_text_hash"], "left").select("doc_id", "text", "known")
+            .mapInArrow(run, schema))
