@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shelfwise import settings as S
 from shelfwise.functions.arrays import typed_id
@@ -76,48 +76,17 @@ def tag_overlap(focus: DataFrame, day: DataFrame, min_tags: int = S.MIN_SHARED_T
     goods. Tags are joined first and counted by (user, goods) afterwards, with partial
     sums; nothing is dealt out by user, and Spark splits tags or pairs that are hot.
     """
-    tags = staged(followed(focus, S.FOCUS_TAG, "tag").groupBy("user_id", "tag").agg(
-        F.count(F.lit(1)).alias("times")), "followed-tags")
+    tags = followed(focus, S.FOCUS_TAG, "tag").groupBy("user_id", "tag").agg(F.count(F.lit(1)).alias("times"))
     carried = staged(day.select("goods_id", F.explode(F.array_distinct("tags")).alias("tag")).groupBy(
         "goods_id", "tag").agg(F.count(F.lit(1)).alias("rows")), "carried-tags")
-    pairs = prefix_overlap(tags, carried, min_tags)
-    counted = (pairs.join(carried, "goods_id").join(tags, ["user_id", "tag"]).groupBy("user_id", "goods_id")
-               .agg(F.sum(F.col("times") * F.col("rows")).alias("support_by_tag")))
+    counted = tags.join(carried, "tag").groupBy("user_id", "goods_id").agg(
+        F.sum(F.col("times") * F.col("rows")).alias("support_by_tag"))
     unmet = (tags.join(carried.select("tag").distinct(), "tag", "left_anti").groupBy("user_id")
              .agg(F.sum("times").alias("support_by_tag"))
              .withColumn("goods_id", F.lit(None).cast(day.schema["goods_id"].dataType)))
     return counted.unionByName(unmet).filter(F.col("support_by_tag") >= min_tags)
 
 
-def prefix_overlap(tags: DataFrame, carried: DataFrame, min_tags: int) -> DataFrame:
-    """Pairs that may share ``min_tags`` tags; none that does is left out.
-
-    A prefix filter keeps popular tags out of the join. Tags are ordered from rare to
-    popular. A pair that reaches ``min_tags`` shares, as its rarest common tag, one that is
-    neither among the user's most popular tags that could not reach the threshold together,
-    nor in the same tail of the goods. Only the remaining tags generate pairs.
-    """
-    popularity = carried.groupBy("tag").agg(F.count(F.lit(1)).alias("popularity"))
-    most_times = tags.agg(F.max("times").alias("m")).scalar()
-    most_rows = carried.agg(F.max("rows").alias("m")).scalar()
-
-    popular_first = [F.col("popularity").desc(), F.col("tag").desc()]
-    user_order = Window.partitionBy("user_id").orderBy(*popular_first)
-    goods_order = Window.partitionBy("goods_id").orderBy(*popular_first)
-
-    met = tags.join(popularity, "tag")
-    tail = (met.withColumn("place", F.row_number().over(user_order))
-            .filter(F.col("place") < min_tags)
-            .withColumn("reach", F.sum("times").over(user_order) * most_rows)
-            .filter(F.col("reach") < min_tags).select("user_id", "tag"))
-    probes = met.select("user_id", "tag").join(tail, ["user_id", "tag"], "left_anti")
-    needed = F.ceil(F.lit(min_tags) / (most_times * most_rows))
-    index = (carried.join(popularity, "tag")
-             .withColumn("place", F.row_number().over(goods_order))
-             .filter(F.col("place") >= needed).select("goods_id", "tag"))
-    return probes.join(index, "tag").select("user_id", "goods_id").distinct()
-
-
 def tag_goods_top(overlap: DataFrame, sale: DataFrame, k: int = S.TAG_RANKS) -> DataFrame:
     """Overlap goods that rank within k by sale or by forecast for the user."""
     priced = overlap.join(sale.select("goods_id", "sale", "prediction"), "goods_id", "left")
