@@ -12,7 +12,7 @@ import re
 from array import array
 
 #: Words kept for each tokenizer and Python worker; then the store starts anew.
-KEPT_WORDS = 1_600_000
+KEPT_WORDS = 1_200_000
 #: White space of Python that the tokenizers do not take for white space.
 _ODD = re.compile("[\x1c-\x1f]")
 #: A space or none, Latin letters (composed, all of category L), ASCII marks but the apostrophe behind them.
