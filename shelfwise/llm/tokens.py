@@ -62,10 +62,11 @@ class WordCoder:
         if self.cut == "any" and not _ODD.search(text):
             return text.split()
         if self.cut == "spaces" and text and "\0" not in text:
+            # White space in runs, of other kinds or at an end is not cut.
+            if " ".join(text.split()) != text.replace("\n", " "):
+                return None
             # The first word has no space before it; a line's first word keeps its newline.
-            found = ("\0" + text).replace("\n", " \n").split(" ")
-            # More parts than words: white space in runs, of other kinds or at an end.
-            return found if len(found) == len(text.split()) else None
+            return ("\0" + text).replace("\n", " \n").split(" ")
         return None
 
     def _whole(self, word: str) -> str:

@@ -2,12 +2,14 @@
 
 import collections
 import hashlib
+import random
 import re
 import struct
 import zlib
 
 import numpy as np
 import pytest
+import tokenizers
 from hypothesis import given, settings, strategies as st
 
 from shelfwise.llm import (codes, fingerprints, line_dedup, mixing, ngram_join, packing, personal_data, quality, suffix_dedup,
@@ -15,6 +17,7 @@ from shelfwise.llm import (codes, fingerprints, line_dedup, mixing, ngram_join,
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LEAST = -(1 << 63)
+CODERS = [("word_bpe_49k.json", "any"), ("byte_bpe_50k.json", "spaces")]
 
 
 def by_row(df, *columns):
@@ -215,6 +218,21 @@ def test_kept_words_change_no_id(odd_rows, name, cut):
             assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == coder.library.encode(text, add_special_tokens=False).ids, text
 
 
+def same_as_library(name, cut, texts):
+    """The ids of every text against a library of their own, read anew."""
+    library = tokenizers.Tokenizer.from_file(tokens.vocabulary(name))
+    coder = tokens.WordCoder(tokens.vocabulary(name), cut)
+    for text, ids in zip(texts, coder.ids(texts)):
+        assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == library.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize(("name", "cut"), CODERS)
+def test_mixed_white_space_changes_no_id(name, cut):
+    draw = random.Random(5)
+    mixes = ["".join(draw.choices(["a", "b", "cd", "'s", " ", " ", "\t", "\n", "\u00a0"], k=draw.randint(1, 12))) for _ in range(3000)]
+    same_as_library(name, cut, ["a b\tc", "a\tb\tc\n\n", *mixes])
+
+
 @given(st.lists(st.integers(0, (1 << 32) - 1) | st.integers(0, 300), max_size=1500), st.data())
 @settings(max_examples=40, deadline=None)
 def test_codes_are_addressable(ids, data):
