@@ -49,8 +49,10 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.cut = cut
+        added = self.library.get_added_tokens_decoder().values()
+        # Where the library looks for these after its normalizer, no text is cut.
+        self.cut = "none" if any(t.normalized for t in added) else cut
+        self.added = [t.content for t in added]
         self.known = _Known(self)
         self.tails: dict[str, bytes] = {}
         self.newline = self._encode(["\n"])[0]
@@ -59,6 +61,9 @@ class WordCoder:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _split(self, text: str) -> list[str] | None:
+        # The library takes an added token out of a text before anything else.
+        if any(content in text for content in self.added):
+            return None
         if self.cut == "any" and not _ODD.search(text):
             return text.split()
         if self.cut == "spaces" and text and "\0" not in text:

@@ -233,6 +233,12 @@ def test_mixed_white_space_changes_no_id(name, cut):
     same_as_library(name, cut, ["a b\tc", "a\tb\tc\n\n", *mixes])
 
 
+@pytest.mark.parametrize(("name", "cut"), CODERS)
+def test_added_tokens_keep_their_ids(name, cut):
+    same_as_library(name, cut, ["x <|endoftext|> y", "<|startoftext|>a b", "a<|endoftext|>", "a b\n<|endoftext|>\nc d",
+                                "<|ENDOFTEXT|> a", "<|endoftext |> a", "<|endoftext|><|endoftext|>", "endoftext|> <| a"])
+
+
 @given(st.lists(st.integers(0, (1 << 32) - 1) | st.integers(0, 300), max_size=1500), st.data())
 @settings(max_examples=40, deadline=None)
 def test_codes_are_addressable(ids, data):
