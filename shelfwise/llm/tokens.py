@@ -15,8 +15,9 @@ from array import array
 KEPT_WORDS = 1_200_000
 #: White space of Python that the tokenizers do not take for white space.
 _ODD = re.compile("[\x1c-\x1f]")
-#: A space or none, Latin letters (composed, all of category L), ASCII marks but the apostrophe behind them.
-_SIMPLE = re.compile("( ?[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+#: A space or none, Latin letters (composed, all of category L and one letter in lower case, so without U+0130),
+#: ASCII marks but the apostrophe behind them.
+_SIMPLE = re.compile("( ?[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
 def _visible() -> dict[int, str]:

@@ -239,6 +239,13 @@ def test_added_tokens_keep_their_ids(name, cut):
                                 "<|ENDOFTEXT|> a", "<|endoftext |> a", "<|endoftext|><|endoftext|>", "endoftext|> <| a"])
 
 
+@pytest.mark.parametrize(("name", "cut"), CODERS)
+def test_letters_of_the_short_path(name, cut):
+    letters = [c for c in map(chr, range(0x250)) if c.isalpha()]
+    assert sum(tokens._SIMPLE.fullmatch(c) is not None for c in letters) == len(letters) - 1  # but U+0130
+    same_as_library(name, cut, [t for c in letters for t in (c, c + "stanbul", "x" + c, c + c + "!?", f"a {c}b")])
+
+
 @given(st.lists(st.integers(0, (1 << 32) - 1) | st.integers(0, 300), max_size=1500), st.data())
 @settings(max_examples=40, deadline=None)
 def test_codes_are_addressable(ids, data):
