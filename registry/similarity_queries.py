@@ -93,6 +93,11 @@ def user_goods_set(t: Retail) -> DataFrame:
     return profile.user_goods_set(pairs).select("user_id", "part", F.array_join("goods", ",").alias("goods"))
 
 
+@query("user_goods", "SELECT DISTINCT user_id, goods_id FROM own_goods")
+def user_goods(t: Retail) -> DataFrame:
+    return profile.user_goods(similarity_daily.focus_pairs(t.similarity_inputs, AS_OF, DAYS))
+
+
 @query("history_list", """
     SELECT user_id, 0 AS part, string_agg(goods_id, ',' ORDER BY goods_id) AS goods FROM recent_any GROUP BY user_id""")
 def history_list(t: Retail) -> DataFrame:
@@ -347,6 +352,17 @@ def user_tag_merge(t: Retail) -> DataFrame:
                          total.alias("goods_sum"), F.array_join("tags", ",").alias("tags"))
 
 
+@query("user_tag_merge_rows", """
+    SELECT DISTINCT e.user_id, 'goods_ids' AS source, e.goods_id AS goods_ids, CAST(NULL AS VARCHAR) AS tags, 1 AS copies
+    FROM expanded e JOIN (SELECT DISTINCT goods_id FROM goods_dynamic) d ON d.goods_id = e.goods_id
+    UNION ALL SELECT DISTINCT e.user_id, 'tags', NULL, p.tag, 1 FROM (SELECT DISTINCT user_id, goods_id FROM expanded) e
+    JOIN (SELECT goods_id, unnest(tags) AS tag FROM part_info
+          WHERE goods_id IN (SELECT goods_id FROM goods_dynamic)) p ON p.goods_id = e.goods_id""")
+def user_tag_merge_rows(t: Retail) -> DataFrame:
+    values = merge.expanded_user_values(t.focus, t.goods_static, t.goods_dynamic)
+    return merge.merged_rows(values, "user_id", ["goods_ids", "tags"])
+
+
 MERGED_ORDERS = """
     SELECT l_suppkey, 0 AS part, min(l_returnflag) AS l_returnflag,
            string_agg({0}l_linestatus, ',' ORDER BY l_linestatus) AS l_linestatus,
@@ -373,6 +389,34 @@ def merge_records_keep_dup(t: Retail) -> DataFrame:
     return merged_orders(t, keep_dup=True)
 
 
+MERGED_ORDER_ROWS = """
+    SELECT l_suppkey, 'l_linestatus' AS source, l_linestatus, CAST(NULL AS BIGINT) AS l_partkey, {0} AS copies
+    FROM lineitem WHERE l_linestatus <> '' GROUP BY l_suppkey, l_linestatus
+    UNION ALL SELECT l_suppkey, 'l_partkey', NULL, l_partkey, {0} FROM lineitem GROUP BY l_suppkey, l_partkey"""
+
+
+def merged_order_rows(t: Retail, keep_dup: bool) -> DataFrame:
+    return merge.merged_rows(t.table("lineitem"), "l_suppkey", ["l_linestatus", "l_partkey"], keep_dup=keep_dup)
+
+
+@query("merge_records_rows", MERGED_ORDER_ROWS.format("1"))
+def merge_records_rows(t: Retail) -> DataFrame:
+    return merged_order_rows(t, keep_dup=False)
+
+
+@query("merge_records_keep_dup_rows", MERGED_ORDER_ROWS.format("count(*)"))
+def merge_records_keep_dup_rows(t: Retail) -> DataFrame:
+    return merged_order_rows(t, keep_dup=True)
+
+
+@query("merge_records_document_rows", """
+    SELECT user_id, type || '=' || value AS item, count(*) AS copies FROM focus GROUP BY user_id, type, value""")
+def merge_records_document_rows(t: Retail) -> DataFrame:
+    documents = t.focus.select("user_id", F.array(F.struct("type", "value")).alias("items"))
+    merged = merge.merged_rows(documents, "user_id", ["items"], mode="document")
+    return merged.select("user_id", F.concat("items.type", F.lit("="), "items.value").alias("item"), "copies")
+
+
 @query("merge_records_document", """
     SELECT user_id, 0 AS part, count(*) AS n_values, string_agg(type || '=' || value, ',' ORDER BY type, value) AS items
     FROM focus GROUP BY user_id""")

@@ -65,10 +65,14 @@ def user_tag_list(tags: DataFrame, parts: int = S.LIST_PARTS) -> DataFrame:
         F.array_sort(F.flatten(F.collect_list(repeated))).alias("tags"))
 
 
+def user_goods(pairs: DataFrame) -> DataFrame:
+    """Distinct goods per user; one row per user and goods."""
+    return pairs.filter(F.col("goods_id").isNotNull()).select("user_id", "goods_id").distinct()
+
+
 def user_goods_set(pairs: DataFrame, parts: int = S.LIST_PARTS) -> DataFrame:
     """Distinct goods per user, in ``parts`` rows."""
-    distinct = pairs.filter(F.col("goods_id").isNotNull()).select("user_id", "goods_id").distinct()
-    spread = in_parts(distinct, ["goods_id"], parts)
+    spread = in_parts(user_goods(pairs), ["goods_id"], parts)
     return spread.groupBy("user_id", "part").agg(collected("goods_id").alias("goods"))
 
 

@@ -250,3 +250,13 @@ def test_tables(spark, rows):
     assert rows(spark.table("shop.result")) == [(1, "x", "20010630")]
     tables.drop_table_if_exists(spark, "shop.result")
     assert not spark.catalog.tableExists("shop.result")
+
+
+def test_merged_rows_do_not_grow(spark):
+    df = spark.range(1000).selectExpr("id % 2 AS key", "'w' AS word", "array(id % 4, 7) AS ids")
+    got = merge.merged_rows(df, "key", ["word", "ids"], keep_dup=True).collect()
+    assert sorted((r.key, r.source, r.word, r.ids, r.copies) for r in got if r.source == "word") == [
+        (k, "word", "w", None, 500) for k in (0, 1)]
+    assert sorted((r.key, r.ids, r.copies) for r in got if r.source == "ids") == [
+        (0, 0, 250), (0, 2, 250), (0, 7, 500), (1, 1, 250), (1, 3, 250), (1, 7, 500)]
+    assert {r.copies for r in merge.merged_rows(df, "key", ["word", "ids"]).collect()} == {1}
