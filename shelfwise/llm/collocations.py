@@ -26,6 +26,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
@@ -117,18 +118,24 @@ class Occurrences:
         piece = np.cumsum(ends)[found.starts] if len(found.starts) else found.starts
         positions = np.arange(len(piece)) + np.cumsum(np.diff(piece, prepend=piece[:1]) > 0)
         words = strings(*gathered(data, found.starts[first], (found.ends - found.starts)[first]))
-        return cls(words, np.arange(len(first))[:, None], positions, number)
+        # Numbers follow the order of the words, so that phrases come out sorted and are stored and shuffled small.
+        order = pc.sort_indices(words)
+        rank = np.empty(len(first), np.int64)
+        rank[order.to_numpy()] = np.arange(len(first))
+        return cls(words.take(order), np.arange(len(first))[:, None], positions, rank[number])
 
     @classmethod
     def read(cls, words: pa.Array, phrases: bytes, positions: bytes, ids: bytes) -> Occurrences:
         unpack = zstandard.ZstdDecompressor().decompress
-        width, flat = int.from_bytes(phrases[:4], "little"), np.frombuffer(unpack(phrases[4:]), "<i4")
-        return cls(words, flat.reshape(-1, width), np.cumsum(np.frombuffer(unpack(positions), "<i4"), dtype=np.int64),
+        width = int.from_bytes(phrases[:4], "little")
+        rows = np.frombuffer(unpack(phrases[4:]), "<i4").reshape(-1, width) if width > 1 else np.arange(len(words))[:, None]
+        return cls(words, rows, np.cumsum(np.frombuffer(unpack(positions), "<i4"), dtype=np.int64),
                    np.frombuffer(unpack(ids), "<i4"))
 
     def written(self) -> tuple[bytes, bytes, bytes]:
         pack = zstandard.ZstdCompressor(level=1).compress
-        return (self.phrases.shape[1].to_bytes(4, "little") + pack(self.phrases.astype("<i4").tobytes()),
+        width = self.phrases.shape[1]  # one word: the words in their order
+        return (width.to_bytes(4, "little") + (pack(self.phrases.astype("<i4").tobytes()) if width > 1 else b""),
                 pack(np.diff(self.positions, prepend=0).astype("<i4").tobytes()), pack(self.ids.astype("<i4").tobytes()))
 
     def counts(self) -> np.ndarray:
