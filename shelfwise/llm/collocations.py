@@ -20,7 +20,7 @@ unique. Texts longer than a block are cut between pieces.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -41,8 +41,8 @@ NO_LANGUAGE = "und"
 MARKS = ".,;:!?\n\x0b\x0c\r"
 #: Characters of a block, about.
 BLOCK = 1 << 21
-#: 16 MB for each level; a power of two.
-SCREEN_BITS = 1 << 27
+#: 8 MB for each level; a power of two.
+SCREEN_BITS = 1 << 26
 #: Bits that meet in one row while a screen is put together.
 CHUNK_BITS = 1 << 17
 
@@ -54,7 +54,7 @@ _PLAIN[[ord(c) for c in MARKS]] = 10
 _RELATION = "lang string, words array<string>, phrases binary, positions binary, ids binary"
 
 
-def portions(texts: list[str]) -> Iterator[list[str]]:
+def portions(texts: Iterable[str]) -> Iterator[list[str]]:
     """The texts in lists of about ``BLOCK`` characters; a longer text is cut behind a mark."""
     held, size = [], 0
     for text in texts:
@@ -193,21 +193,20 @@ def _rows(lang: list[str], found: list[Occurrences]) -> pa.RecordBatch:
 
 
 def _read(batch: pa.RecordBatch) -> Iterator[tuple[str, Occurrences]]:
-    lists = batch.column(1)
-    for i, (lang, phrases, positions, ids) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 2, 3, 4)), strict=True)):
-        yield lang, Occurrences.read(lists[i].values, phrases, positions, ids)
+    for i in range(len(batch)):  # one block after the other, so that a worker holds one
+        lang, words, *rest = (batch.column(c)[i] for c in range(5))
+        yield lang.as_py(), Occurrences.read(words.values, *(x.as_py() for x in rest))
 
 
 def word_occurrences(docs: DataFrame) -> DataFrame:
     """The relation of single words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_lang: dict[str, list[str]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                by_lang.setdefault(lang, []).append(text)
-            for lang, texts in by_lang.items():
-                for some in portions(texts):
-                    yield _rows([lang], [Occurrences.of(some)])
+            langs = batch.column(0)
+            for lang in pc.unique(langs):
+                own = batch.column(1).filter(pc.equal(langs, lang))
+                for some in portions(x.as_py() for x in own):
+                    yield _rows([lang.as_py()], [Occurrences.of(some)])
 
     return docs.select(F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, _RELATION)
 
@@ -293,6 +292,9 @@ def levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: in
             after = screen_of(found[-1], k, bits)
             # From here on the relation holds only what the screen lets pass.
             relation = staged(extended(relation, screen, after), f"occurrences-{k}")
+            for sent in (screen, after):  # what is stored needs no screen again
+                if sent is not None:
+                    sent.unpersist()
             screen = None
     return total, found
 
