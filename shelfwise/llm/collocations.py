@@ -45,13 +45,16 @@ BLOCK = 1 << 21
 SCREEN_BITS = 1 << 26
 #: Bits that meet in one row while a screen is put together.
 CHUNK_BITS = 1 << 17
+#: Phrases that a task holds before it adds them up, and occurrences whose phrases are added up by one task, about.
+HELD_PHRASES = 1 << 20
+PART_OCCURRENCES = 1 << 22
 
 _MARK = re.compile(f"[{re.escape(MARKS)}]")
 #: A-Z in lower case, marks as line ends.
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[ord("A"):ord("Z") + 1] += 32
 _PLAIN[[ord(c) for c in MARKS]] = 10
-_RELATION = "lang string, words array<string>, phrases binary, positions binary, ids binary"
+_RELATION = "lang string, words array<string>, phrases binary, positions binary, ids binary, n long"
 
 
 def portions(texts: Iterable[str]) -> Iterator[list[str]]:
@@ -188,8 +191,9 @@ def _rows(lang: list[str], found: list[Occurrences]) -> pa.RecordBatch:
     coded = [f.written() for f in found]
     sizes = np.concatenate([[0], np.cumsum([len(f.words) for f in found])])
     words = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.concat_arrays([f.words for f in found]))
-    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), words, *(pa.array(c, pa.binary()) for c in zip(*coded, strict=True))],
-                                      ["lang", "words", "phrases", "positions", "ids"])
+    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), words, *(pa.array(c, pa.binary()) for c in zip(*coded, strict=True)),
+                                       pa.array([len(f.ids) for f in found], pa.int64())],
+                                      ["lang", "words", "phrases", "positions", "ids", "n"])
 
 
 def _read(batch: pa.RecordBatch) -> Iterator[tuple[str, Occurrences]]:
@@ -219,18 +223,89 @@ def _bits(sent: Broadcast | None) -> np.ndarray | None:
     return None if sent is None else np.frombuffer(sent.value, np.uint8)
 
 
-def counted(relation: DataFrame, screen: Broadcast | None, join: bool) -> DataFrame:
-    """lang, phrase and its n in each block: of the relation, or of its join with itself."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = _bits(screen)
+def _bundles(held: list[tuple[str, pa.Array, np.ndarray, np.ndarray]], parts: int) -> pa.RecordBatch:
+    """The counts of some blocks added up, as one sorted and compressed row for each language and part."""
+    pack, rows = zstandard.ZstdCompressor(level=1).compress, []
+    for lang in dict.fromkeys(x[0] for x in held):
+        own = [x for x in held if x[0] == lang]
+        phrase, hashes, n = (pa.concat_arrays([x[1] for x in own]), *(np.concatenate([x[k] for x in own]) for k in (2, 3)))
+        if len(own) > 1:
+            table = pa.table({"phrase": phrase, "hash": hashes, "n": n}).group_by("phrase", use_threads=False).aggregate([("hash", "min"), ("n", "sum")])
+            table = table.take(pc.sort_indices(table.column("phrase")))
+            phrase, hashes, n = table.column("phrase").combine_chunks(), table.column("hash_min").to_numpy(), table.column("n_sum").to_numpy()
+        part = (hashes % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        phrase, n = phrase.take(pa.array(order)), n[order]
+        cuts = np.searchsorted(part[order], np.arange(parts + 1))
+        data, bounds = textvec.packed(phrase)
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            lo, hi = cuts[k], cuts[k + 1]
+            rows.append((k, lang, pack(data[bounds[lo]:bounds[hi]].tobytes()), pack(np.diff(bounds[lo:hi + 1]).astype("<i4").tobytes()),
+                         pack(n[lo:hi].astype("<i8").tobytes())))
+    kinds = [pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
+    columns = list(zip(*rows, strict=True)) or [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], ["part", "lang", "phrases", "sizes", "counts"])
+
+
+def counted(relation: DataFrame, screen: Broadcast | None, join: bool, least: int) -> DataFrame:
+    """lang, phrase and f of the phrases of the relation, or of its join with itself, that are met ``least`` times
+    or more; and for each task and language a row without phrase, whose f counts all occurrences.
+
+    Phrases are added up in the task, dealt to parts by their hash and added up there. What goes between is sorted
+    and compressed, a fourth of the size of the rows. The number of parts grows with the occurrences.
+    """
+    spark = relation.sparkSession
+    many = relation.agg(F.sum("n")).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-many // PART_OCCURRENCES))
+
+    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, held, size = _bits(screen), [], 0
         for batch in batches:
             for lang, found in _read(batch):
                 found = _kept(found, bits, lang)
                 found = found.joined() if join else found
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found.phrases), pa.string()), found.texts(),
-                                                  pa.array(found.counts(), pa.int64())], ["lang", "phrase", "n"])
+                held.append((lang, found.texts(), found.hashes(lang), found.counts()))
+                size += len(found.phrases)
+                if size >= HELD_PHRASES:
+                    yield _bundles(held, parts)
+                    held, size = [], 0
+        if held:
+            yield _bundles(held, parts)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        sums: dict[str, pa.Table] = {}
+        new: dict[str, list[pa.Table]] = {}
+        size = 0
+
+        def merge() -> None:
+            for lang, tables in new.items():
+                held = [sums[lang]] if lang in sums else []
+                sums[lang] = (pa.concat_tables([*held, *tables]).group_by("phrase", use_threads=False).aggregate([("n", "sum")])
+                              .rename_columns({"n_sum": "n"}).select(["phrase", "n"]))
+            new.clear()
 
-    return relation.mapInArrow(run, "lang string, phrase string, n long")
+        for batch in batches:
+            for i in range(len(batch)):
+                lang, phrases, sizes, counts = (batch.column(c)[i].as_py() for c in range(1, 5))
+                bounds = np.concatenate([[0], np.cumsum(np.frombuffer(unpack(sizes), "<i4"))])
+                new.setdefault(lang, []).append(pa.table({"phrase": strings(np.frombuffer(unpack(phrases), np.uint8), bounds),
+                                                          "n": np.frombuffer(unpack(counts), "<i8")}))
+                size += len(bounds) - 1
+                if size >= HELD_PHRASES:
+                    merge()
+                    size = 0
+        merge()
+        for lang, table in sums.items():
+            n = table.column("n")
+            table = table.filter(pc.greater_equal(n, least))
+            for part in [pa.table({"phrase": pa.array([None], pa.string()), "n": pa.array([pc.sum(n).as_py()], pa.int64())}), table]:
+                for some in part.to_batches(1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), *some.columns], ["lang", "phrase", "f"])
+
+    bundles = relation.select("lang", "words", "phrases", "positions", "ids").mapInArrow(
+        bundle, "part int, lang string, phrases binary, sizes binary, counts binary")
+    return bundles.repartition(parts, "part").mapInArrow(add, "lang string, phrase string, f long")
 
 
 def extended(relation: DataFrame, screen: Broadcast | None, after: Broadcast) -> DataFrame:
@@ -243,7 +318,7 @@ def extended(relation: DataFrame, screen: Broadcast | None, after: Broadcast) ->
                 if len(found.ids):
                     yield _rows([lang], [found])
 
-    return relation.mapInArrow(run, _RELATION)
+    return relation.select("lang", "words", "phrases", "positions", "ids").mapInArrow(run, _RELATION)
 
 
 def screen_of(frequent: DataFrame, words: int, bits: int = SCREEN_BITS) -> Broadcast:
@@ -281,13 +356,12 @@ def screen_of(frequent: DataFrame, words: int, bits: int = SCREEN_BITS) -> Broad
 def levels(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: int = SCREEN_BITS) -> tuple[DataFrame, list[DataFrame]]:
     """lang and n (words), and for each number of words lang, phrase, f of the phrases met ``least`` times or more."""
     relation = staged(word_occurrences(docs), "occurrences-1")
-    words = staged(counted(relation, None, False).groupBy("lang", "phrase").agg(F.sum("n").alias("f")), "words")
-    total = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    found = [staged(words.filter(F.col("f") >= least), "frequent-1")]
+    words = staged(counted(relation, None, False, least), "frequent-1")
+    total = words.filter("phrase is null").groupBy("lang").agg(F.sum("f").alias("n"))
+    found = [words.filter("phrase is not null")]
     screen = screen_of(found[0], 1, bits) if longest > 1 else None
     for k in range(2, longest + 1):
-        counts = counted(relation, screen, True).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-        found.append(staged(counts.filter(F.col("f") >= least), f"frequent-{k}"))
+        found.append(staged(counted(relation, screen, True, least).filter("phrase is not null"), f"frequent-{k}"))
         if k < longest:
             after = screen_of(found[-1], k, bits)
             # From here on the relation holds only what the screen lets pass.
