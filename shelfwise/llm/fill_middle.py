@@ -102,8 +102,8 @@ def _columns(*fields: tuple[str, T.DataType]) -> list[T.StructField]:
 
 def filled(docs: DataFrame, seed: int = SEED, rate: int = RATE, spm_rate: int = SPM_RATE) -> DataFrame:
     """The rows of ``docs`` as ``_row`` with n, form, prefix, middle, suffix (null if plain) and output."""
-    rest = F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("_row")
-    rows = docs.select(rest, "text", *draws(seed))
+    rest = docs.drop("text").select(F.struct("*").alias("_row")).schema["_row"]
+    rows = docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in rest.dataType.names]).alias("_row"), "text", *draws(seed))
     schema = T.StructType([T.StructField("_row", rows.schema["_row"].dataType), *_columns(
         ("n", T.LongType()), ("form", T.StringType()), ("prefix", T.StringType()), ("middle", T.StringType()),
         ("suffix", T.StringType()), ("output", T.StringType()))])

@@ -11,8 +11,12 @@ import os
 import re
 from array import array
 
-#: Words kept for each tokenizer and Python worker; then the store starts anew.
-KEPT_WORDS = 1_200_000
+import pyarrow as pa
+
+#: Bytes of words kept by a Python worker, about; then the store starts anew. It is empty between tasks.
+KEPT_BYTES = 24 << 20
+#: What a kept word takes beside its own characters and ids, and the most characters that it may have.
+WORD_BYTES, WORD_CHARS = 190, 64
 #: White space of Python that the tokenizers do not take for white space.
 _ODD = re.compile("[\x1c-\x1f]")
 #: A space or none, Latin letters (composed, all of category L and one letter in lower case, so without U+0130),
@@ -101,18 +105,19 @@ class WordCoder:
             stem, tail = simple.groups()
             coded += self._model(stem.lower() if self.cut == "any" else stem)
             if tail:
-                if tail not in self.tails:
-                    self.tails[tail] = self._model(tail)
-                coded += self.tails[tail]
+                if tail in self.tails:
+                    coded += self.tails[tail]
+                else:
+                    found = self._model(tail)
+                    if len(tail) <= 4:  # few, as there are only so many marks
+                        self.tails[tail] = found
+                    coded += found
         elif whole:
             coded += self._encode([whole])[0]
         return coded
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         texts = ["" if t is None else t for t in texts]
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-            self.tails.clear()
         get = self.known.__getitem__
         out, rest = [], []
         for i, text in enumerate(texts):
@@ -126,14 +131,30 @@ class WordCoder:
         return out
 
 
+    def release(self) -> None:
+        """To be called when a task ends: forget all words and give free memory back."""
+        self.known.forget()
+        pa.default_memory_pool().release_unused()
+
+
 class _Known(dict):
-    """Ids by word; a word that is missing is encoded and kept."""
+    """Ids by word; a word that is missing is encoded, and kept while it is short and there is room."""
 
     def __init__(self, owner: WordCoder):
-        self.owner = owner
+        self.owner, self.size = owner, 0
+
+    def forget(self) -> None:
+        self.clear()
+        self.owner.tails.clear()
+        self.size = 0
 
     def __missing__(self, word: str) -> bytes:
-        coded = self[word] = self.owner.encode_word(word)
+        coded = self.owner.encode_word(word)
+        if len(word) <= WORD_CHARS:
+            self.size += WORD_BYTES + 2 * len(word) + len(coded)
+            if self.size > KEPT_BYTES:
+                self.forget()
+            self[word] = coded
         return coded
 
 

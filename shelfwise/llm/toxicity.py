@@ -11,8 +11,8 @@ sample alone reaches the driver, as sorted feature numbers. Only features whose
 clearly between the labels are used. Labels say toxic or not; a toxic document gets grade 2 if
 it has more different markers than the middle one of all toxic documents of the sample.
 
-Null and empty texts have no features and are clean. Labels with null id or value are left out.
-Without toxic labels all documents are clean. Repeated rows are documents of their own.
+Null and empty texts have no features and are clean. Labels with null id or value are left out; an id
+that has several counts as toxic if one says so. Of several texts of one id one is drawn. Without toxic labels all documents are clean. Repeated rows are documents of their own.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from shelfwise.llm import textvec
 from shelfwise.llm.quality import _FOLD
@@ -177,39 +177,44 @@ def train(toxic: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> Model:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Model fitted on at most ``sample`` labelled documents (a documented bound)."""
     drawn = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-             .select(F.col("doc_id").cast("long").alias("_id"), (F.col("toxic") > 0).cast("int").alias("_toxic"))
+             .groupBy(F.col("doc_id").cast("long").alias("_id")).agg((F.max("toxic") > 0).cast("int").alias("_toxic"))
              .orderBy(F.xxhash64("_id"), "_id").limit(sample))
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(drawn), "_id").select("_toxic", "text")
+    # One row an id, taken before the texts meet, so the driver gets ``sample`` rows at most.
+    texts = (docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
+             .join(F.broadcast(drawn), "_id").groupBy("_id", "_toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(2).to_pylist()
             for begin, end in textvec.pieces(texts):
                 owner, feature = features(texts[begin:end])
                 ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=end - begin))])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(feature, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), lists], ["toxic", "features"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), batch.column(1).slice(begin, end - begin), lists],
+                                                 ["id", "toxic", "features"])
 
-    rows = texts.mapInArrow(run, "toxic int, features array<int>").toArrow()
-    lists = rows.column(1).combine_chunks()
-    return train(rows.column(0).to_numpy().astype(bool), np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy())
+    rows = texts.mapInArrow(run, "id long, toxic int, features array<int>").toArrow().sort_by("id")
+    lists = rows.column(2).combine_chunks()
+    return train(rows.column(1).to_numpy().astype(bool), np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy())
 
 
 def graded(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of docs as ``_row`` with severity, p_toxic and rejected; one pass, no shuffle."""
-    whole = docs.select("text", F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    whole = docs.select(F.struct("*").alias("_row"))
+    text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts = batch.column(0).field(text).to_pylist()
             for begin, end in textvec.pieces(texts):
                 p = model.probabilities(texts[begin:end])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(1).slice(begin, end - begin), pa.array(p.sum(axis=1)), pa.array(p[:, 0]),
+                    [batch.column(0).slice(begin, end - begin), pa.array(p.sum(axis=1)), pa.array(p[:, 0]),
                      pa.array(p[:, 0] >= REJECT)], ["_row", "severity", "p_toxic", "rejected"])
 
-    row = whole.schema["_row"].dataType.simpleString()
-    return whole.mapInArrow(run, f"_row {row}, severity double, p_toxic double, rejected boolean")
+    return whole.mapInArrow(run, T.StructType([
+        whole.schema["_row"], T.StructField("severity", T.DoubleType()), T.StructField("p_toxic", T.DoubleType()),
+        T.StructField("rejected", T.BooleanType())]))
 
 
 def severity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -170,7 +170,7 @@ def judged(pages: DataFrame, index: Filter) -> DataFrame:
     """Rows of ``pages`` as ``_row`` with host, path, rule and its verdict (null if none fits), and listed:
     is the page blocked as a resource?"""
     host, path, resource = url_parts()
-    parts = pages.select(F.struct(*[pages[c] for c in pages.columns]).alias("_row"), host.alias("host"), path.alias("path"),
+    parts = pages.select(F.struct("*").alias("_row"), host.alias("host"), path.alias("path"),
                          resource.alias("resource"))
     if index.file is None:
         return _joined(parts, index)
