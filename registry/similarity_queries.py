@@ -77,20 +77,27 @@ def user_tag_frequency(t: Retail) -> DataFrame:
     return frequency_of(t)
 
 
-@query("user_tag_list", """
-    SELECT user_id, 0 AS part, count(tag) AS n_tags, coalesce(string_agg(tag, ',' ORDER BY tag), '') AS tags
-    FROM tag_rows GROUP BY user_id""")
+def blocked(rows: str, key: str, order: str) -> str:
+    """SQL: rows with the block of a hundred places that each has in the list of its key."""
+    return f"(SELECT *, (row_number() OVER (PARTITION BY {key} ORDER BY {order}) - 1) // {S.LIST_BLOCK} AS block FROM {rows})"
+
+
+@query("user_tag_list", f"""
+    SELECT user_id, CASE WHEN tag IS NULL THEN 0 ELSE block END AS block, count(tag) AS n_tags,
+           coalesce(string_agg(tag, ',' ORDER BY tag), '') AS tags
+    FROM {blocked('tag_rows', 'user_id', 'tag NULLS LAST')} GROUP BY ALL""")
 def user_tag_list(t: Retail) -> DataFrame:
     lists = profile.user_tag_list(profile.tag_sources(*tag_sources_of(t)))
-    return lists.select("user_id", "part", F.size("tags").cast("bigint").alias("n_tags"),
+    return lists.select("user_id", "block", F.size("tags").cast("bigint").alias("n_tags"),
                         F.array_join("tags", ",").alias("tags"))
 
 
-@query("user_goods_set", """
-    SELECT user_id, 0 AS part, string_agg(goods_id, ',' ORDER BY goods_id) AS goods FROM own_goods GROUP BY user_id""")
+@query("user_goods_set", f"""
+    SELECT user_id, block, string_agg(goods_id, ',' ORDER BY goods_id) AS goods
+    FROM {blocked('own_goods', 'user_id', 'goods_id')} GROUP BY user_id, block""")
 def user_goods_set(t: Retail) -> DataFrame:
     pairs = similarity_daily.focus_pairs(t.similarity_inputs, AS_OF, DAYS)
-    return profile.user_goods_set(pairs).select("user_id", "part", F.array_join("goods", ",").alias("goods"))
+    return profile.user_goods_set(pairs).select("user_id", "block", F.array_join("goods", ",").alias("goods"))
 
 
 @query("user_goods", "SELECT DISTINCT user_id, goods_id FROM own_goods")
@@ -98,23 +105,26 @@ def user_goods(t: Retail) -> DataFrame:
     return profile.user_goods(similarity_daily.focus_pairs(t.similarity_inputs, AS_OF, DAYS))
 
 
-@query("history_list", """
-    SELECT user_id, 0 AS part, string_agg(goods_id, ',' ORDER BY goods_id) AS goods FROM recent_any GROUP BY user_id""")
+@query("history_list", f"""
+    SELECT user_id, block, string_agg(goods_id, ',' ORDER BY goods_id) AS goods
+    FROM {blocked('recent_any', 'user_id', 'goods_id')} GROUP BY user_id, block""")
 def history_list(t: Retail) -> DataFrame:
     lists = profile.history_list(rules.recent_pairs(t.recommend, AS_OF))
-    return lists.select("user_id", "part", F.array_join("goods", ",").alias("goods"))
+    return lists.select("user_id", "block", F.array_join("goods", ",").alias("goods"))
 
 
-@query("user_profile", """
-    SELECT coalesce(f.user_id, g.user_id) AS user_id, 0 AS part, f.tags, g.goods
-    FROM (SELECT user_id, string_agg(tag || ':' || n, ',' ORDER BY tag) AS tags FROM frequency GROUP BY user_id) f
-    FULL JOIN (SELECT user_id, string_agg(goods_id, ',' ORDER BY goods_id) AS goods FROM own_goods
-               GROUP BY user_id) g ON f.user_id = g.user_id""")
+@query("user_profile", f"""
+    SELECT coalesce(f.user_id, g.user_id) AS user_id, coalesce(f.block, g.block) AS block, f.tags, g.goods
+    FROM (SELECT user_id, block, string_agg(tag || ':' || n, ',' ORDER BY tag) AS tags
+          FROM {blocked('frequency', 'user_id', 'tag')} GROUP BY user_id, block) f
+    FULL JOIN (SELECT user_id, block, string_agg(goods_id, ',' ORDER BY goods_id) AS goods
+               FROM {blocked('own_goods', 'user_id', 'goods_id')} GROUP BY user_id, block) g
+      ON f.user_id = g.user_id AND f.block = g.block""")
 def user_profile(t: Retail) -> DataFrame:
     pairs = similarity_daily.focus_pairs(t.similarity_inputs, AS_OF, DAYS)
     entries = F.transform(F.map_entries("tags"), lambda e: F.concat(e["key"], F.lit(":"), e["value"]))
     return profile.user_profile(frequency_of(t), pairs).select(
-        "user_id", "part", F.array_join(entries, ",").alias("tags"), F.array_join("goods", ",").alias("goods"))
+        "user_id", "block", F.array_join(entries, ",").alias("tags"), F.array_join("goods", ",").alias("goods"))
 
 
 # Category trees.
@@ -147,7 +157,7 @@ ASKED = """(SELECT value AS id FROM focus WHERE type = 'category' UNION SELECT p
 @query("category_min_level", f"""
     SELECT a.id, coalesce(m.level, -1) AS level FROM {ASKED} a LEFT JOIN min_level m ON m.node = a.id""")
 def category_min_level(t: Retail) -> DataFrame:
-    return hierarchy.category_min_level(hierarchy.category_closure(t.tree_nodes), asked_ids(t))
+    return hierarchy.category_min_level(hierarchy.node_levels(t.tree_nodes), asked_ids(t))
 
 
 @query("category_levels", f"""
@@ -169,14 +179,14 @@ def category_count(t: Retail) -> DataFrame:
 
 @query("goods_depth", "SELECT goods_id, depth FROM wish_depth")
 def goods_depth(t: Retail) -> DataFrame:
-    levels = hierarchy.min_levels(hierarchy.category_closure(t.category_nodes))
+    levels = hierarchy.min_levels(hierarchy.node_levels(t.category_nodes))
     return hierarchy.goods_depth(t.goods_static.select("goods_id"), t.goods_static, levels)
 
 
 @query("pool_depth", """
     SELECT d.goods_id, d.depth FROM wish_depth d JOIN hot_pool p ON p.goods_id = d.goods_id""")
 def pool_depth(t: Retail) -> DataFrame:
-    levels = hierarchy.min_levels(hierarchy.category_closure(t.category_nodes))
+    levels = hierarchy.min_levels(hierarchy.node_levels(t.category_nodes))
     return hierarchy.goods_depth(hot_of(t), t.goods_static, levels)
 
 
@@ -335,20 +345,24 @@ def tag_frequency(t: Retail) -> DataFrame:
     return merge.tag_frequency(t.part.select(F.col("tags").alias("custom_tags")))
 
 
-@query("user_tag_merge", """
-    SELECT g.user_id, 0 AS part, g.n_goods, g.goods_sum, t.tags FROM (
-        SELECT user_id, count(*) AS n_goods, CAST(sum(goods_id) AS BIGINT) AS goods_sum FROM (
-            SELECT DISTINCT e.user_id, e.goods_id FROM expanded e
-            JOIN (SELECT DISTINCT goods_id FROM goods_dynamic) d ON d.goods_id = e.goods_id) GROUP BY user_id) g
-    JOIN (SELECT user_id, string_agg(tag, ',' ORDER BY tag) AS tags FROM (
-            SELECT DISTINCT e.user_id, p.tag FROM (SELECT DISTINCT user_id, goods_id FROM expanded) e
-            JOIN (SELECT goods_id, unnest(tags) AS tag FROM part_info
-                  WHERE goods_id IN (SELECT goods_id FROM goods_dynamic)) p ON p.goods_id = e.goods_id)
-          GROUP BY user_id) t ON t.user_id = g.user_id""")
+MERGED_GOODS = """(SELECT DISTINCT e.user_id, e.goods_id FROM expanded e
+    JOIN (SELECT DISTINCT goods_id FROM goods_dynamic) d ON d.goods_id = e.goods_id)"""
+MERGED_TAGS = """(SELECT DISTINCT e.user_id, p.tag FROM (SELECT DISTINCT user_id, goods_id FROM expanded) e
+    JOIN (SELECT goods_id, unnest(tags) AS tag FROM part_info
+          WHERE goods_id IN (SELECT goods_id FROM goods_dynamic)) p ON p.goods_id = e.goods_id)"""
+
+
+@query("user_tag_merge", f"""
+    SELECT coalesce(g.user_id, t.user_id) AS user_id, coalesce(g.block, t.block) AS block, coalesce(n_goods, 0) AS n_goods,
+           coalesce(goods_total, 0) AS goods_sum, coalesce(tags, '') AS tags
+    FROM (SELECT user_id, block, count(*) AS n_goods, CAST(sum(goods_id) AS BIGINT) AS goods_total
+          FROM {blocked(MERGED_GOODS, 'user_id', 'goods_id')} GROUP BY user_id, block) g
+    FULL JOIN (SELECT user_id, block, string_agg(tag, ',' ORDER BY tag) AS tags
+               FROM {blocked(MERGED_TAGS, 'user_id', 'tag')} GROUP BY user_id, block) t ON t.user_id = g.user_id AND t.block = g.block""")
 def user_tag_merge(t: Retail) -> DataFrame:
     merged = merge.expanded_user_tags(t.focus, t.goods_static, t.goods_dynamic)
     total = F.aggregate("goods_ids", F.lit(0).cast("bigint"), lambda a, g: a + g)
-    return merged.select("user_id", "part", F.size("goods_ids").cast("bigint").alias("n_goods"),
+    return merged.select("user_id", "block", F.size("goods_ids").cast("bigint").alias("n_goods"),
                          total.alias("goods_sum"), F.array_join("tags", ",").alias("tags"))
 
 
@@ -363,28 +377,33 @@ def user_tag_merge_rows(t: Retail) -> DataFrame:
     return merge.merged_rows(values, "user_id", ["goods_ids", "tags"])
 
 
-MERGED_ORDERS = """
-    SELECT l_suppkey, 0 AS part, min(l_returnflag) AS l_returnflag,
-           string_agg({0}l_linestatus, ',' ORDER BY l_linestatus) AS l_linestatus,
-           count({0}l_partkey) AS n_parts, CAST(sum({0}l_partkey) AS BIGINT) AS part_sum
-    FROM lineitem GROUP BY l_suppkey"""
+def merged_orders_sql(distinct: str) -> str:
+    """Blocks of a supplier's line states and parts; each in its own order, ids as text so that values and order count."""
+    def lists(column: str) -> str:
+        rows = f"(SELECT {distinct} l_suppkey, {column} FROM lineitem)"
+        return f"""(SELECT l_suppkey, block, count(*) AS n, string_agg({column}, ',' ORDER BY {column}) AS items
+                    FROM {blocked(rows, 'l_suppkey', column)} GROUP BY l_suppkey, block)"""
+    return f"""
+    SELECT k.l_suppkey, p.block, k.l_returnflag, coalesce(s.items, '') AS l_linestatus, p.n AS n_parts, p.items AS parts
+    FROM (SELECT l_suppkey, min(l_returnflag) AS l_returnflag FROM lineitem GROUP BY l_suppkey) k
+    JOIN {lists('l_partkey')} p ON p.l_suppkey = k.l_suppkey
+    LEFT JOIN {lists('l_linestatus')} s ON s.l_suppkey = p.l_suppkey AND s.block = p.block"""
 
 
 def merged_orders(t: Retail, keep_dup: bool) -> DataFrame:
     lines = t.table("lineitem").select("l_suppkey", "l_returnflag", "l_linestatus", "l_partkey")
     merged = merge.merge_records(lines, "l_suppkey", ["l_returnflag"], ["l_linestatus", "l_partkey"],
                                  keep_dup=keep_dup)
-    total = F.aggregate("l_partkey", F.lit(0).cast("bigint"), lambda a, g: a + g)
-    return merged.select("l_suppkey", "part", "l_returnflag", F.array_join("l_linestatus", ",").alias("l_linestatus"),
-                         F.size("l_partkey").cast("bigint").alias("n_parts"), total.alias("part_sum"))
+    return merged.select("l_suppkey", "block", "l_returnflag", F.array_join("l_linestatus", ",").alias("l_linestatus"),
+                         F.size("l_partkey").cast("bigint").alias("n_parts"), F.array_join("l_partkey", ",").alias("parts"))
 
 
-@query("merge_records", MERGED_ORDERS.format("DISTINCT "))
+@query("merge_records", merged_orders_sql("DISTINCT"))
 def merge_records(t: Retail) -> DataFrame:
     return merged_orders(t, keep_dup=False)
 
 
-@query("merge_records_keep_dup", MERGED_ORDERS.format(""))
+@query("merge_records_keep_dup", merged_orders_sql(""))
 def merge_records_keep_dup(t: Retail) -> DataFrame:
     return merged_orders(t, keep_dup=True)
 
@@ -417,12 +436,12 @@ def merge_records_document_rows(t: Retail) -> DataFrame:
     return merged.select("user_id", F.concat("items.type", F.lit("="), "items.value").alias("item"), "copies")
 
 
-@query("merge_records_document", """
-    SELECT user_id, 0 AS part, count(*) AS n_values, string_agg(type || '=' || value, ',' ORDER BY type, value) AS items
-    FROM focus GROUP BY user_id""")
+@query("merge_records_document", f"""
+    SELECT user_id, block, count(*) AS n_values, string_agg(type || '=' || value, ',' ORDER BY type, value) AS items
+    FROM {blocked('focus', 'user_id', 'type, value')} GROUP BY user_id, block""")
 def merge_records_document(t: Retail) -> DataFrame:
     documents = t.focus.select("user_id", F.array(F.struct("type", "value")).alias("items"))
     merged = merge.merge_records(documents, "user_id", [], ["items"], mode="document")
     names = F.transform("items", lambda i: F.concat(i["type"], F.lit("="), i["value"]))
-    return merged.select("user_id", "part", F.size("items").cast("bigint").alias("n_values"),
+    return merged.select("user_id", "block", F.size("items").cast("bigint").alias("n_values"),
                          F.array_join(names, ",").alias("items"))

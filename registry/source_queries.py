@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from registry.base import query
 from registry.bindings import AS_OF, Retail
+from shelfwise import settings as S
 from shelfwise.functions import arrays, dates
 from shelfwise.operators import catalog, sales
 from shelfwise.session import shared_folder
@@ -32,13 +33,14 @@ def category_nodes(t: Retail) -> DataFrame:
     return documents.category_nodes(t.base_category)
 
 
-@query("nodes_by_platform", """
-    SELECT platform, 0 AS part, count(*) AS n_nodes, string_agg(node || '<' || parent, ',' ORDER BY node, parent) AS nodes
-    FROM category_nodes GROUP BY platform""")
+@query("nodes_by_platform", f"""
+    SELECT platform, block, count(*) AS n_nodes, string_agg(node || '<' || parent, ',' ORDER BY node, parent) AS nodes
+    FROM (SELECT *, (row_number() OVER (PARTITION BY platform ORDER BY node, parent) - 1) // {S.LIST_BLOCK} AS block FROM category_nodes)
+    GROUP BY platform, block""")
 def nodes_by_platform(t: Retail) -> DataFrame:
     names = F.transform("nodes", lambda n: F.concat(n["node"], F.lit("<"), n["parent"]))
     return documents.nodes_by_platform(t.category_nodes).select(
-        "platform", "part", F.size("nodes").cast("bigint").alias("n_nodes"),
+        "platform", "block", F.size("nodes").cast("bigint").alias("n_nodes"),
         F.array_join(names, ",").alias("nodes"))
 
 

@@ -2,7 +2,7 @@
 
 A plain ``dense_rank`` window sends every tied row of a key to one task, and a plain
 ``collect_list`` builds one row per key however long it gets. The helpers here rank
-distinct values instead of rows, and divide lists into a given number of parts.
+distinct values instead of rows, and divide lists into blocks of a fixed number of places.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfwise.session import staged
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys meet; the key columns of ``left`` are kept."""
@@ -46,25 +48,35 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: i
     return df.withColumn(position, F.row_number().over(window)).filter(F.col(position) <= k)
 
 
-def in_parts(items: DataFrame, spread_by: Sequence[str], parts: int, part: str = "part") -> DataFrame:
-    """Number the rows of every key alike from 0 to ``parts`` - 1, by the hash of ``spread_by``.
+def in_blocks(items: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, copies: str = "copies") -> DataFrame:
+    """Deal the values of every key, in order, to blocks of ``size`` list places.
 
-    The caller chooses how many rows a long list has; the shape never follows the data.
+    A row stands for ``copies`` equal values (none: it takes no place). Added are block, from 0,
+    place (that of the row's first value in the block) and copies, now those in the block; a row
+    whose copies run over the end of a block comes once for each. Rows are dealt out by ranges of
+    key and value; each range counts its places, the sums before it number them, so a key with any
+    share of the rows is spread like all others. Null keys are a key.
     """
-    return items.withColumn(part, F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int"))
-
-
-def in_pieces(counted: DataFrame, max_items: int, copies: str = "copies") -> DataFrame:
-    """Split a row that stands for many equal items into rows of at most ``max_items``."""
-    done = F.col("piece") * max_items
-    return counted.withColumn(
-        "piece", F.explode(F.sequence(F.lit(0), F.floor((F.col(copies) - 1) / max_items)))
-    ).withColumn(copies, F.least(F.col(copies) - done, F.lit(max_items)).cast("int"))
-
-
-def collected(value: Column | str) -> Column:
-    """Sorted list of the non-null values of a group; use on groups bounded by ``in_parts``."""
-    return F.array_sort(F.collect_list(value))
+    ranged = staged(items.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy(*keys, "_range").agg(F.sum(copies).alias("_n"))
+    ranges = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*keys, "_range", F.coalesce(F.sum("_n").over(ranges), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = null_safe_join(ranged.withColumn("_inside", F.coalesce(F.sum(copies).over(inside), F.lit(0))), starts, [*keys, "_range"])
+    first, last = F.col("_start") + F.col("_inside"), F.col("_start") + F.col("_inside") + F.greatest(F.col(copies), F.lit(1)) - 1
+    begin = F.greatest(F.col("_first"), F.col("block") * size)
+    return (placed.withColumn("_first", first)
+            .withColumn("block", F.explode(F.sequence(F.floor(first / size), F.floor(last / size))))
+            .withColumn("place", (begin - F.col("block") * size).cast("int"))
+            .withColumn(copies, F.greatest(F.least(F.col("_first") + F.col(copies), (F.col("block") + 1) * size) - begin, F.lit(0)).cast("int"))
+            .drop("_range", "_start", "_inside", "_first"))
+
+
+def block_list(value: str, copies: str = "copies", when: Column | None = None) -> Column:
+    """The list of a block's values in the order of their places, each as often as it has copies."""
+    piece = F.struct("place", F.array_repeat(value, F.col(copies)).alias("v"))
+    pieces = F.array_sort(F.collect_list(piece if when is None else F.when(when, piece)))
+    return F.flatten(F.transform(pieces, lambda p: p["v"]))
 
 
 def lists_of(rows: DataFrame, keys: Sequence[str], value: str = "goods_id",

@@ -2,34 +2,79 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, Row, functions as F
 
 from shelfwise import settings as S
-from shelfwise.session import lineage_cut
+from shelfwise.session import staged
+
+
+def _stored(*frames: tuple[DataFrame, str]) -> list[tuple[DataFrame, Row]]:
+    """Frames written to the shared folder side by side, each with its n (rows) and total (sum of its numbers), seen while writing."""
+    def store(frame: DataFrame, name: str) -> tuple[DataFrame, Row]:
+        seen = Observation()
+        number = F.col(frame.columns[-1]) if name in ("levels", "distances") else F.lit(0)
+        out = staged(frame.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(number).alias("total")), name)
+        return out, Row(**seen.get)
+
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(lambda x: store(*x), frames))
+
+
+def node_levels(nodes: DataFrame) -> DataFrame:
+    """Smallest level of every node below a root (root = 1), for each platform; no path is built.
+
+    Levels and the least distances between a node and those above it double their reach every
+    round, so a tree of depth d takes about log2(d) rounds, and many ways to one node stay one row.
+    Ends when a round changes no level.
+    """
+    rows = nodes.select("platform", "node", "parent")
+    roots = rows.filter(F.col("parent") == S.ROOT_PARENT).select("platform", "node", F.lit(1).alias("level")).distinct()
+    edges = rows.filter((F.col("parent") != S.ROOT_PARENT) & (F.col("parent") != F.col("node"))).select(
+        "platform", F.col("parent").alias("above"), "node", F.lit(1).alias("steps")).distinct()
+    (levels, now), (below, _) = _stored((roots, "levels"), (edges, "distances"))
+    before = None
+    while now != before:
+        reached = levels.withColumnRenamed("node", "above").join(below, ["platform", "above"]).select(
+            "platform", "node", (F.col("level") + F.col("steps")).alias("level"))
+        middle = below.select("platform", F.col("node").alias("_middle"), F.col("above").alias("_above"), F.col("steps").alias("_steps"))
+        further = middle.join(below.withColumnRenamed("above", "_middle"), ["platform", "_middle"]).filter(
+            F.col("_above") != F.col("node")).select("platform", F.col("_above").alias("above"), "node", (F.col("steps") + F.col("_steps")).alias("steps"))
+        before = now
+        (levels, now), (below, _) = _stored(
+            (levels.unionByName(reached).groupBy("platform", "node").agg(F.min("level").alias("level")), "levels"),
+            (below.unionByName(further).groupBy("platform", "above", "node").agg(F.min("steps").alias("steps")), "distances"))
+    return levels
 
 
 def category_closure(nodes: DataFrame) -> DataFrame:
     """Every place of every node below a root: level (root = 1) and path of ids.
 
-    One join per level, each level written to the checkpoint folder, until a level is
-    empty, however deep the tree. A node already on its own path is not placed again, so
-    cycles end.
+    Round j has all walks of 2^j steps down; behind the places found so far they give those of up
+    to twice the depth. So a tree of depth d takes about log2(d) rounds of two joins, written side
+    by side to the shared folder. A node already on its own path is not placed again, so cycles end.
+    Walks are those of the whole table, parts that no root reaches included.
     """
-    child = lineage_cut(nodes.select("platform", "node", "parent", "text", "has_child"))
-    below = child.filter(F.col("parent") != S.ROOT_PARENT)
-    level = lineage_cut(child.filter(F.col("parent") == S.ROOT_PARENT).select(
-        "*", F.lit(1).alias("level"), F.array("node").alias("path")))
-    levels = [level]
-    while not level.isEmpty():
-        above = level.select("platform", F.col("node").alias("parent"), F.col("level").alias("_above"), "path")
-        level = lineage_cut(below.join(above, ["platform", "parent"])
-                            .filter(~F.array_contains("path", F.col("node")))
-                            .select("platform", "node", "parent", "text", "has_child", (F.col("_above") + 1).alias("level"),
-                                    F.array_append("path", F.col("node")).alias("path")))
-        levels.append(level)
-    return reduce(DataFrame.unionByName, levels[:-1] or levels)
+    child = nodes.select("platform", "node", "parent", "text", "has_child")
+    record = ["parent", "node", "text", "has_child"]
+    roots = child.filter(F.col("parent") == S.ROOT_PARENT).select("platform", *record, F.lit(1).alias("level"), F.array("node").alias("path"))
+    steps = child.filter((F.col("parent") != S.ROOT_PARENT) & (F.col("parent") != F.col("node"))).select(
+        "platform", F.col("parent").alias("above"), *record, F.array("node").alias("walk"))
+    (last, new), (walks, _) = _stored((roots, "places"), (steps, "walks"))
+    places = [last]
+    while new.n:
+        found = reduce(DataFrame.unionByName, places).select("platform", F.col("node").alias("above"), "path")
+        further = found.join(walks, ["platform", "above"]).filter(~F.arrays_overlap("path", "walk")).select(
+            "platform", *record, (F.size("path") + F.size("walk")).alias("level"), F.concat("path", "walk").alias("path"))
+        first = walks.select("platform", F.col("above").alias("_above"), F.col("node").alias("above"), F.col("walk").alias("_walk"))
+        longer = (first.join(walks, ["platform", "above"])
+                  .filter(~F.arrays_overlap("_walk", "walk") & ~F.array_contains("walk", F.col("_above")))
+                  .select("platform", F.col("_above").alias("above"), *record, F.concat("_walk", "walk").alias("walk")))
+        (last, new), (walks, _) = _stored((further, "places"), (longer, "walks"))
+        places.append(last)
+    return reduce(DataFrame.unionByName, places[:-1] or places)
 
 
 def unplaced_nodes(nodes: DataFrame, closure: DataFrame) -> DataFrame:
@@ -38,15 +83,15 @@ def unplaced_nodes(nodes: DataFrame, closure: DataFrame) -> DataFrame:
     return nodes.join(closure.select(*keys), keys, "left_anti")
 
 
-def min_levels(closure: DataFrame) -> DataFrame:
+def min_levels(levels: DataFrame) -> DataFrame:
     """Smallest level per node id, over the trees of all platforms."""
-    return closure.groupBy("node").agg(F.min("level").alias("level"))
+    return levels.groupBy("node").agg(F.min("level").alias("level"))
 
 
-def category_min_level(closure: DataFrame, ids: DataFrame) -> DataFrame:
+def category_min_level(levels: DataFrame, ids: DataFrame) -> DataFrame:
     """Smallest level of each asked id; -1 when it is in no tree."""
     wanted = ids.select(F.col("id")).distinct()
-    return wanted.join(min_levels(closure).withColumnRenamed("node", "id"), "id", "left").select(
+    return wanted.join(min_levels(levels).withColumnRenamed("node", "id"), "id", "left").select(
         "id", F.coalesce("level", F.lit(-1)).alias("level"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfwise import settings as S
 from shelfwise.operators.follow import followed
-from shelfwise.operators.groups import collected, first_rows, in_parts, in_pieces
+from shelfwise.operators.groups import block_list, first_rows, in_blocks
 from shelfwise.operators.sales import known_amount
 
 
@@ -53,16 +53,14 @@ def user_tag_frequency(tags: DataFrame, goods_tags: DataFrame, shop_tags: DataFr
             .groupBy("user_id", "tag").agg(F.count(F.lit(1)).alias("n")))
 
 
-def user_tag_list(tags: DataFrame, parts: int = S.LIST_PARTS) -> DataFrame:
-    """Tags per user with repeats, nulls skipped, in ``parts`` rows per user.
+def user_tag_list(tags: DataFrame, block: int = S.LIST_BLOCK) -> DataFrame:
+    """Tags per user with repeats in blocks of ``block`` values, nulls skipped; a user of null tags has an empty block 0.
 
-    Repeats are counted before the exchange and written out again inside the list.
+    Repeats are counted before the exchange and written out again inside the blocks.
     """
-    counted = tags.groupBy("user_id", "tag").agg(F.count(F.lit(1)).alias("copies"))
-    spread = in_parts(in_pieces(counted, S.MAX_COPIES), ["tag", "piece"], parts)
-    repeated = F.when(F.col("tag").isNotNull(), F.array_repeat("tag", F.col("copies")))
-    return spread.groupBy("user_id", "part").agg(
-        F.array_sort(F.flatten(F.collect_list(repeated))).alias("tags"))
+    counted = tags.groupBy("user_id", "tag").agg(F.count("tag").alias("copies"))
+    dealt = in_blocks(counted, ["user_id"], ["tag"], block)
+    return dealt.groupBy("user_id", "block").agg(block_list("tag").alias("tags"))
 
 
 def user_goods(pairs: DataFrame) -> DataFrame:
@@ -70,21 +68,21 @@ def user_goods(pairs: DataFrame) -> DataFrame:
     return pairs.filter(F.col("goods_id").isNotNull()).select("user_id", "goods_id").distinct()
 
 
-def user_goods_set(pairs: DataFrame, parts: int = S.LIST_PARTS) -> DataFrame:
-    """Distinct goods per user, in ``parts`` rows."""
-    spread = in_parts(user_goods(pairs), ["goods_id"], parts)
-    return spread.groupBy("user_id", "part").agg(collected("goods_id").alias("goods"))
+def user_goods_set(pairs: DataFrame, block: int = S.LIST_BLOCK) -> DataFrame:
+    """Distinct goods per user, in order, in blocks."""
+    dealt = in_blocks(user_goods(pairs).withColumn("copies", F.lit(1)), ["user_id"], ["goods_id"], block)
+    return dealt.groupBy("user_id", "block").agg(block_list("goods_id").alias("goods"))
 
 
-def history_list(recent: DataFrame, parts: int = S.LIST_PARTS) -> DataFrame:
-    """Recently shown goods per user, repeats kept."""
+def history_list(recent: DataFrame, block: int = S.LIST_BLOCK) -> DataFrame:
+    """Recently shown goods per user, repeats kept, in blocks."""
     rows = recent.withColumnRenamed("goods_id", "tag")
-    return user_tag_list(rows, parts).withColumnRenamed("tags", "goods")
+    return user_tag_list(rows, block).withColumnRenamed("tags", "goods")
 
 
-def user_profile(frequency: DataFrame, pairs: DataFrame, parts: int = S.LIST_PARTS) -> DataFrame:
-    """Tag frequencies and goods of every user that has either."""
-    spread = in_parts(frequency, ["tag"], parts)
-    tags = spread.groupBy("user_id", "part").agg(
+def user_profile(frequency: DataFrame, pairs: DataFrame, block: int = S.LIST_BLOCK) -> DataFrame:
+    """Tag frequencies and goods of every user that has either; block k holds the k-th block of both."""
+    dealt = in_blocks(frequency.withColumn("copies", F.lit(1)), ["user_id"], ["tag"], block)
+    tags = dealt.groupBy("user_id", "block").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("tag", "n")))).alias("tags"))
-    return tags.join(user_goods_set(pairs, parts), ["user_id", "part"], "full")
+    return tags.join(user_goods_set(pairs, block), ["user_id", "block"], "full")

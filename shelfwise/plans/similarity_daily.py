@@ -60,8 +60,7 @@ def user_side(inputs: SimilarityInputs, as_of: str, days: int = S.SALE_DAYS,
     tagged = inputs.focus.filter(F.col("type").isin(kinds)).select("user_id")
     if not category_distance:
         return UserSide(staged(tagged.distinct(), "users"), frequency, None, None)
-    closure = hierarchy.category_closure(inputs.category_nodes)
-    levels = staged(hierarchy.min_levels(closure), "levels")
+    levels = staged(hierarchy.min_levels(hierarchy.node_levels(inputs.category_nodes)), "levels")
     depth = staged(hierarchy.focus_goods_depth(
         focus_pairs(inputs, as_of, days), inputs.goods_static, levels), "focus-depth")
     users = staged(tagged.unionByName(depth.select("user_id")).distinct(), "users")

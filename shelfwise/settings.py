@@ -34,7 +34,5 @@ MIN_HOT = 10
 MIN_POTENTIAL = 100
 POTENTIAL_BONUS = 100
 
-# Ours: into how many rows every long list is divided, for all keys alike.
-LIST_PARTS = 1
-# Ours: copies of one value that a list row holds in one piece.
-MAX_COPIES = 100_000
+# Ours: places of a block; every long list is divided into blocks of so many values, for all keys alike.
+LIST_BLOCK = 100

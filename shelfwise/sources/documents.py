@@ -7,7 +7,7 @@ from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, StringType, S
                                StructType)
 
 from shelfwise import settings as S
-from shelfwise.operators.groups import collected, in_parts
+from shelfwise.operators.groups import block_list, in_blocks
 
 FOCUS_SCHEMA = StructType([
     StructField("userId", StringType()),
@@ -57,11 +57,12 @@ def category_nodes(base_category: DataFrame) -> DataFrame:
     )
 
 
-def nodes_by_platform(nodes: DataFrame, parts: int = S.LIST_PARTS) -> DataFrame:
-    """Node lists per platform, each in ``parts`` rows."""
-    items = in_parts(nodes, ["node", "parent"], parts)
-    return items.groupBy("platform", "part").agg(
-        collected(F.struct("node", "parent", "text", "has_child")).alias("nodes"))
+def nodes_by_platform(nodes: DataFrame, block: int = S.LIST_BLOCK) -> DataFrame:
+    """Node lists per platform, sorted, repeats kept, in blocks of ``block`` nodes."""
+    fields = ["node", "parent", "text", "has_child"]
+    counted = nodes.groupBy("platform", *fields).agg(F.count(F.lit(1)).alias("copies"))
+    dealt = in_blocks(counted, ["platform"], fields, block).withColumn("record", F.struct(*fields))
+    return dealt.groupBy("platform", "block").agg(block_list("record").alias("nodes"))
 
 
 def potential_goods(potential_raw: DataFrame, ids_only: bool = False) -> DataFrame:

@@ -91,13 +91,14 @@ def test_ranks_of_a_hot_tied_key_do_not_meet_in_one_task(spark):
     assert "HashAggregate" in window and "WindowGroupLimit" in window
 
 
-def test_parts_follow_the_parameter_alone(spark):
-    items = spark.range(10_000).select(F.when(F.col("id") < 5_000, "hot").otherwise(
-        F.col("id").cast("string")).alias("k"), "id")
-    sizes = groups.in_parts(items, ["id"], 50).groupBy("k", "part").count()
-    assert sizes.agg(F.max("count"), F.sum("count")).first()[1] == 10_000
-    assert sizes.agg(F.max("count")).first()[0] < 200
-    assert {r.part for r in groups.in_parts(items, ["id"], 1).select("part").distinct().collect()} == {0}
+def test_blocks_of_a_hot_key_are_numbered_over_several_tasks(spark):
+    items = spark.range(30_000).select(F.when(F.col("id") < 10_000, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                       "id", F.lit(1).alias("copies"))
+    dealt = groups.in_blocks(items, ["k"], ["id"], 64).filter("k = 'hot'")
+    assert dealt.filter((F.floor(F.col("id") / 64) != F.col("block")) | (F.col("id") % 64 != F.col("place"))).count() == 0
+    assert dealt.count() == 10_000
+    ranges = groups.in_blocks(items, ["k"], ["id"], 64)
+    assert ranges.groupBy("k", "block").count().agg(F.max("count")).first()[0] == 64
 
 
 def test_pools_with_many_untagged_goods_are_counted_as_they_are(spark):

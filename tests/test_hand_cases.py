@@ -1,6 +1,7 @@
 """Small frames with answers worked out by hand."""
 
 import math
+import random
 from datetime import date
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import arrays, dates
 from shelfwise.operators import catalog, follow, groups, hierarchy, merge, profile, rules, sales, similarity
+from shelfwise.session import staged
 from shelfwise.sources import documents, partitions, tables
 
 DYNAMIC = "goods_id bigint, sale bigint, amount double, tags array<string>, state string, pt string"
@@ -123,7 +125,7 @@ def test_category_tree(spark, rows):
         ("P", "c1", "c2", "", True), ("P", "c2", "c1", "", True), ("Q", "q", "0", "q", False)], NODES)
     closure = hierarchy.category_closure(nodes)
     ids = spark.createDataFrame([("x",), ("q",), ("orphan",), ("zz",)], "id string")
-    assert rows(hierarchy.category_min_level(closure, ids)) == [("orphan", -1), ("q", 1), ("x", 2), ("zz", -1)]
+    assert rows(hierarchy.category_min_level(hierarchy.node_levels(nodes), ids)) == [("orphan", -1), ("q", 1), ("x", 2), ("zz", -1)]
     assert rows(hierarchy.category_levels(closure, ids)) == [
         ("orphan", None, 0), ("q", 1, 1), ("x", 2, 1), ("x", 3, 1), ("zz", None, 0)]
     assert rows(hierarchy.unplaced_nodes(nodes, closure).select("node")) == [("c1",), ("c2",), ("orphan",)]
@@ -174,6 +176,57 @@ def test_merge_records(spark, rows):
         "two", 0, "a", ["y", "y"], [1, 2, 2])
 
 
+def counted_stages(monkeypatch):
+    """Names under which frames are stored, in order."""
+    names = []
+    monkeypatch.setattr(hierarchy, "staged", lambda df, name: names.append(name) or staged(df, name))
+    return names
+
+
+def test_rounds_grow_with_the_logarithm_of_the_depth(spark, monkeypatch):
+    nodes = spark.createDataFrame([("P", str(i), str(i - 1), "", True) for i in range(1, 51)], NODES)
+    names = counted_stages(monkeypatch)
+    levels = hierarchy.node_levels(nodes)
+    assert {int(r.node): r.level for r in levels.collect()} == {i: i for i in range(1, 51)}
+    assert names.count("levels") - 1 <= 7
+    assert sorted(r.path for r in hierarchy.category_closure(nodes).collect()) == sorted([str(k) for k in range(1, i + 1)] for i in range(1, 51))
+    assert names.count("places") - 1 <= 7
+
+
+def test_tree_of_nothing(spark):
+    for nodes in (spark.createDataFrame([], NODES), spark.createDataFrame([("P", "a", "b", "", True)], NODES)):
+        assert hierarchy.node_levels(nodes).count() == 0 and hierarchy.category_closure(nodes).count() == 0
+
+
+def test_levels_need_no_paths(spark):
+    """A chain of 40 diamonds has 2^40 places at its end."""
+    rows = [("P", "n0", "0", "", True)]
+    for i in range(40):
+        rows += [("P", f"{side}{i}", f"n{i}", "", True) for side in "ab"] + [("P", f"n{i + 1}", f"{side}{i}", "", True) for side in "ab"]
+    rows.append(("P", "n40", "x", "", False))
+    got = {r.node: r.level for r in hierarchy.node_levels(spark.createDataFrame(rows, NODES)).collect()}
+    assert got == {f"n{i}": 2 * i + 1 for i in range(41)} | {f"{side}{i}": 2 * i + 2 for side in "ab" for i in range(40)}
+
+
+def test_closure_of_random_graphs(spark):
+    """Several parents, repeated records, cycles behind a root, nodes of their own parent, null ids."""
+    draw = random.Random(3)
+    for _ in range(3):
+        ids = [str(i) for i in range(1, 10)]
+        records = [("P", draw.choice(ids), draw.choice(["0", *ids]), draw.choice("xy"), True) for _ in range(14)]
+        records += [("P", "1", "0", "r", True), ("P", None, "0", "r", True), ("P", "3", None, "r", True), ("P", "5", "5", "r", True)]
+        places = todo = [(n, p, t, (n,)) for _, n, p, t, _ in records if p == "0"]
+        while todo:
+            todo = [(n, p, t, (*path, n)) for end, _, _, path in todo if end is not None for _, n, p, t, _ in records
+                    if p == end and p != "0" and n not in path]
+            places = places + todo
+        nodes = spark.createDataFrame(records, NODES)
+        got = [(r.node, r.parent, r.text, tuple(r.path)) for r in hierarchy.category_closure(nodes).collect()]
+        assert sorted(map(repr, got)) == sorted(map(repr, places))
+        least = {n: min(len(path) for m, _, _, path in places if m == n) for n, *_ in places}
+        assert {r.node: r.level for r in hierarchy.node_levels(nodes).collect()} == least
+
+
 def test_deep_trees_have_no_limit(spark):
     nodes = spark.createDataFrame([("P", str(i), str(i - 1), "", True) for i in range(1, 28)], NODES)
     closure = hierarchy.category_closure(nodes)
@@ -192,15 +245,32 @@ def test_forecast_and_day_are_the_latest_ones(spark, rows):
         partitions.day_to_run(forecast, "20010701")
 
 
-def test_lists_are_divided_alike(spark):
-    tags = spark.createDataFrame([("hot", f"t{i % 50}") for i in range(1000)] + [("cold", "t1"), ("empty", None)],
-                                 "user_id string, tag string")
-    lists = profile.user_tag_list(tags, parts=3).collect()
-    hot = [r.tags for r in lists if r.user_id == "hot"]
-    assert len(hot) > 1 and sorted(sum(hot, [])) == sorted(f"t{i % 50}" for i in range(1000))
-    assert [r.tags for r in lists if r.user_id == "cold"] == [["t1"]]
-    assert [r.tags for r in lists if r.user_id == "empty"] == [[]]
-    assert {r.part for r in profile.user_tag_list(tags).collect()} == {0}
+def test_lists_come_in_blocks(spark):
+    """A third of all rows, as one value and as many, in blocks of seven places."""
+    rows = ([("hot", f"t{i % 50:02}") for i in range(1000)] + [("hot", "same")] * 500 + [("cold", "t1"), ("cold", None), ("empty", None)]
+            + [(None, "x")] * 9 + [(f"u{i}", "t") for i in range(20)])
+    tags = spark.createDataFrame(rows, "user_id string, tag string").repartition(5)
+    lists = {(r.user_id, r.block): r.tags for r in profile.user_tag_list(tags, 7).collect()}
+    hot = sorted(t for u, t in rows if u == "hot")
+    assert [lists["hot", k] for k in range(-(-len(hot) // 7))] == [hot[i:i + 7] for i in range(0, len(hot), 7)]
+    assert lists["cold", 0] == ["t1"] and lists["empty", 0] == [] and lists[None, 0] == ["x"] * 7 and lists[None, 1] == ["x"] * 2
+    assert len(lists) == -(-len(hot) // 7) + 2 + 2 + 20
+
+
+def test_blocks_of_several_lists(spark):
+    frequency = spark.createDataFrame([("u", f"t{i}", i) for i in range(5)] + [("v", "t", 1)], "user_id string, tag string, n bigint")
+    pairs = spark.createDataFrame([("u", i) for i in range(3)] + [("w", 1), ("w", 1), ("w", None)], "user_id string, goods_id bigint")
+    got = {(r.user_id, r.block): (r.tags, r.goods) for r in profile.user_profile(frequency, pairs, 2).collect()}
+    assert got == {("u", 0): ({"t0": 0, "t1": 1}, [0, 1]), ("u", 1): ({"t2": 2, "t3": 3}, [2]), ("u", 2): ({"t4": 4}, None),
+                   ("v", 0): ({"t": 1}, None), ("w", 0): (None, [1])}
+    records = spark.createDataFrame([("k", "a", ["x", "y", "y"], 3), ("k", "b", ["z"], None), ("n", "c", None, None)],
+                                    "key string, first string, list array<string>, number int")
+    merged = merge.merge_records(records, "key", ["first"], ["list", "number"], keep_dup=True, block=2)
+    assert {(r.key, r.block): (r["first"], r["list"], r.number) for r in merged.collect()} == {
+        ("k", 0): ("a", ["x", "y"], [3]), ("k", 1): ("a", ["y", "z"], []), ("n", 0): ("c", [], [])}
+    nodes = spark.createDataFrame([("P", str(i // 2), "0", None, True) for i in range(10)], NODES)
+    blocks = {r.block: [n.node for n in r.nodes] for r in documents.nodes_by_platform(nodes, 4).collect()}
+    assert blocks == {0: ["0", "0", "1", "1"], 1: ["2", "2", "3", "3"], 2: ["4", "4"]}
 
 
 def test_expanded_user_tags_equals_the_composition(spark, rows):
