@@ -9,6 +9,7 @@ the rules for such rows have something to do.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import replace
 from datetime import timedelta
 from functools import cached_property, reduce
@@ -21,7 +22,7 @@ from shelfwise.plans.rules_daily import RuleInputs
 from shelfwise.plans.similarity_daily import SimilarityInputs
 from shelfwise.session import shared_folder, staged
 from shelfwise.sources.documents import category_nodes, potential_goods
-from shelfwise.sources.partitions import partition_list
+from shelfwise.sources.partitions import PartitionedTable, partition_list
 
 # The day and window all queries use; 60 days so that sales meet forecasts.
 AS_OF = "2001-06-30"
@@ -166,10 +167,21 @@ class Retail:
             f"{self.spark.sparkContext.applicationId} {self.sf_dir}".encode()).hexdigest()[:16]
         if not self.spark.catalog.tableExists(name):
             path = f"{shared_folder(self.spark)}/shelfwise/{name}"
-            (self.goods_dynamic.select("goods_id", "sale", "amount", "state", "pt").repartition("pt").write
+            (self.goods_dynamic.select("goods_id", "sale", "amount", "tags", "state", "pt").repartition("pt").write
              .partitionBy("pt").option("path", path).format("parquet").saveAsTable(name))
         return name
 
+    @cached_property
+    def dynamic(self) -> PartitionedTable:
+        return PartitionedTable.of_table(self.spark, self.dynamic_table)
+
+    @cached_property
+    def forecast_table(self) -> PartitionedTable:
+        """The forecasts as files below a folder for each day."""
+        path = f"{shared_folder(self.spark)}/shelfwise/forecast-{uuid.uuid4().hex}"
+        self.forecast.write.partitionBy("pt").parquet(path)
+        return PartitionedTable.of_folder(self.spark, path, self.forecast.schema)
+
     @cached_property
     def days(self) -> DataFrame:
         return partition_list(self.spark, self.dynamic_table)
@@ -225,15 +237,14 @@ class Retail:
     def rule_inputs(self) -> RuleInputs:
         """Inputs of the daily plan as stored tables, which is what a daily plan reads."""
         dynamic = staged(self.recent, "dynamic")
-        forecast = self.forecast
+        forecast = self.forecast_table
         return RuleInputs(staged(self.focus, "focus"), staged(self.goods_static, "static"), dynamic,
                           forecast, staged(self.potential, "potential"), self.recommend)
 
     @cached_property
     def whole_rule_inputs(self) -> RuleInputs:
-        """The same with all days of the products, from which a plan reads its window."""
-        return replace(self.rule_inputs, goods_dynamic=staged(
-            self.goods_dynamic.filter(F.col("pt") <= AS_OF), "all-days"))
+        """The same with the table of all days of the products, later ones too, from which a plan reads its window."""
+        return replace(self.rule_inputs, goods_dynamic=self.dynamic)
 
     @cached_property
     def similarity_inputs(self) -> SimilarityInputs:

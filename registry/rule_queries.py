@@ -18,7 +18,7 @@ from shelfwise.sources import tables
 
 
 def sale_of(t: Retail) -> DataFrame:
-    return sales.sale_with_forecast(sales.sale_window(t.recent, AS_OF, DAYS), t.forecast)
+    return sales.sale_with_forecast(sales.sale_window(t.recent, AS_OF, DAYS), t.forecast_table)
 
 
 def top_of(t: Retail) -> DataFrame:
@@ -298,6 +298,6 @@ def rules_recommend(t: Retail) -> DataFrame:
 
 @query("run_rules", "SELECT user_id, type, position, goods_id, '20010630' AS pt FROM rule_result WHERE goods_id IS NOT NULL")
 def run_rules(t: Retail) -> DataFrame:
-    """The daily job from all days of the products to the written partition, for the latest day."""
-    rows = written(t, lambda table: rules_daily.run_rules(t.whole_rule_inputs, None, table, days=DAYS, min_tags=MIN_TAGS))
+    """The daily job from the table of all days of the products, later ones too, to the written partition."""
+    rows = written(t, lambda table: rules_daily.run_rules(t.whole_rule_inputs, AS_OF, table, days=DAYS, min_tags=MIN_TAGS))
     return rows.filter(F.col("goods_id").isNotNull())

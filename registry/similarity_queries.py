@@ -313,9 +313,9 @@ def similarity_recommend(t: Retail) -> DataFrame:
 
 @query("run_similarity", "SELECT user_id, type, position, goods_id, '20010630' AS pt FROM similar_result")
 def run_similarity(t: Retail) -> DataFrame:
-    """The daily job from all days of the products to the written partition, for the latest day."""
-    inputs = replace(t.similarity_inputs, goods_dynamic=t.whole_rule_inputs.goods_dynamic)
-    return written(t, lambda table: similarity_daily.run_similarity(inputs, None, table, days=DAYS))
+    """The daily job from the table of all days of the products, later ones too, to the written partition."""
+    inputs = replace(t.similarity_inputs, goods_dynamic=t.dynamic)
+    return written(t, lambda table: similarity_daily.run_similarity(inputs, AS_OF, table, days=DAYS))
 
 
 # Expansion, corpus counts and merging.

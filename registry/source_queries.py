@@ -58,13 +58,13 @@ def potential_goods_ids(t: Retail) -> DataFrame:
 @query("read_partitions", """
     SELECT goods_id, sale, state, pt FROM goods_dynamic WHERE pt BETWEEN '2001-05-02' AND '2001-06-30'""")
 def read_partitions(t: Retail) -> DataFrame:
-    rows = partitions.read_partitions(t.recent, "2001-05-02", AS_OF)
+    rows = partitions.read_partitions(t.dynamic, "2001-05-02", AS_OF)
     return rows.select("goods_id", "sale", "state", "pt")
 
 
 @query("read_one_partition", "SELECT goods_id, sale, state, pt FROM goods_dynamic WHERE pt = '2001-06-30'")
 def read_one_partition(t: Retail) -> DataFrame:
-    return partitions.read_partitions(t.day, AS_OF).select("goods_id", "sale", "state", "pt")
+    return partitions.read_partitions(t.dynamic, AS_OF).select("goods_id", "sale", "state", "pt")
 
 
 @query("read_unpartitioned", """

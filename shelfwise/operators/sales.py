@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from shelfwise import settings as S
 from shelfwise.functions.dates import on_sale_less_than, pt_text
 from shelfwise.operators.groups import dense_ranks
-from shelfwise.sources.partitions import latest_rows, read_partitions
+from shelfwise.sources.partitions import PartitionedTable, latest_rows, read_partitions
 
 
 def valid_sale(dynamic: DataFrame, state: str | None = "") -> DataFrame:
@@ -21,7 +21,7 @@ def known_amount(dynamic: DataFrame) -> DataFrame:
     return dynamic.filter(F.col("amount").isNotNull() & ~F.isnan("amount"))
 
 
-def sale_window(goods_dynamic: DataFrame, as_of: str, days: int = S.SALE_DAYS,
+def sale_window(goods_dynamic: DataFrame | PartitionedTable, as_of: str, days: int = S.SALE_DAYS,
                 state: str | None = "") -> DataFrame:
     """Sale per goods over the ``days`` days that end on ``as_of``."""
     first = pt_text(as_of, 1 - days, dashed=True)
@@ -30,7 +30,7 @@ def sale_window(goods_dynamic: DataFrame, as_of: str, days: int = S.SALE_DAYS,
     return rows.groupBy("goods_id").agg(F.sum("sale").cast("bigint").alias("sale"))
 
 
-def sale_with_forecast(sale: DataFrame, forecast: DataFrame, pt: str | None = None) -> DataFrame:
+def sale_with_forecast(sale: DataFrame, forecast: DataFrame | PartitionedTable, pt: str | None = None) -> DataFrame:
     """Sale with the prediction of one forecast partition, the latest unless one is given."""
     return (sale.join(latest_rows(forecast, pt).select("goods_id", "prediction"), "goods_id", "left")
             .select("goods_id", "sale", "prediction"))

@@ -16,7 +16,7 @@ from shelfwise.operators.pool_scores import best_in_small_pool
 from shelfwise.operators.rules import recent_pairs
 from shelfwise.operators.sales import valid_sale
 from shelfwise.session import small_enough, staged
-from shelfwise.sources.partitions import read_partitions
+from shelfwise.sources.partitions import PartitionedTable, read_partitions
 
 POOL_TAG_ROWS = 200_000
 
@@ -26,7 +26,7 @@ def pool_order() -> list[Column]:
     return [F.col("sale").desc_nulls_last(), F.col("goods_id").asc()]
 
 
-def hot_pool(goods_dynamic: DataFrame, as_of: str, days: int = S.SALE_DAYS,
+def hot_pool(goods_dynamic: DataFrame | PartitionedTable, as_of: str, days: int = S.SALE_DAYS,
              n: int = S.HOT_POOL_SIZE) -> DataFrame:
     """The n goods with the highest sale, with the tags of their latest day."""
     first = pt_text(as_of, 1 - days, dashed=True)

@@ -11,19 +11,20 @@ from shelfwise import settings as S
 from shelfwise.functions.dates import pt_text
 from shelfwise.operators import follow, rules, sales
 from shelfwise.operators.catalog import category_explode
-from shelfwise.session import staged
-from shelfwise.sources.partitions import day_to_run, read_partitions
+from shelfwise.session import prepared, staged
+from shelfwise.sources.partitions import PartitionedTable, day_to_run, read_partitions
 from shelfwise.sources.tables import save_partition_table
 
 
 @dataclass(frozen=True)
 class RuleInputs:
-    """Source frames; ``goods_dynamic`` and ``recommend`` are partitioned by ``pt``."""
+    """Source frames; ``goods_dynamic``, ``forecast`` and ``recommend`` are partitioned by ``pt``. As a
+    ``PartitionedTable`` the first two tell their latest day without a scan."""
 
     focus: DataFrame
     goods_static: DataFrame
-    goods_dynamic: DataFrame
-    forecast: DataFrame
+    goods_dynamic: DataFrame | PartitionedTable
+    forecast: DataFrame | PartitionedTable
     potential: DataFrame
     recommend: DataFrame
 
@@ -50,6 +51,7 @@ def rule_sources(inputs: RuleInputs, as_of: str, sale: DataFrame, min_tags: int
 
 def rule_sale(inputs: RuleInputs, as_of: str, days: int = S.SALE_DAYS) -> DataFrame:
     """Sale and forecast per goods, written once for all its readers."""
+    prepared(inputs.focus.sparkSession)
     return staged(sales.sale_with_forecast(
         sales.sale_window(inputs.goods_dynamic, as_of, days), inputs.forecast), "sale")
 

@@ -10,19 +10,20 @@ from shelfwise import settings as S
 from shelfwise.functions.dates import pt_text
 from shelfwise.operators import follow, hierarchy, profile, sales, similarity
 from shelfwise.operators.catalog import category_explode
-from shelfwise.session import staged
-from shelfwise.sources.partitions import day_to_run, read_partitions
+from shelfwise.session import prepared, staged
+from shelfwise.sources.partitions import PartitionedTable, day_to_run, read_partitions
 from shelfwise.sources.tables import save_partition_table
 
 
 @dataclass(frozen=True)
 class SimilarityInputs:
-    """Source frames; ``goods_dynamic`` and ``recommend`` are partitioned by ``pt``."""
+    """Source frames; ``goods_dynamic``, ``forecast`` and ``recommend`` are partitioned by ``pt``. As a
+    ``PartitionedTable`` the first two tell their latest day without a scan."""
 
     focus: DataFrame
     goods_static: DataFrame
-    goods_dynamic: DataFrame
-    forecast: DataFrame
+    goods_dynamic: DataFrame | PartitionedTable
+    forecast: DataFrame | PartitionedTable
     potential: DataFrame
     recommend: DataFrame
     category_nodes: DataFrame
@@ -50,6 +51,7 @@ def focus_pairs(inputs: SimilarityInputs, as_of: str, days: int) -> DataFrame:
 
 def user_side(inputs: SimilarityInputs, as_of: str, days: int = S.SALE_DAYS,
               category_distance: bool = True) -> UserSide:
+    prepared(inputs.focus.sparkSession)
     day = read_partitions(inputs.goods_dynamic, pt_text(as_of, dashed=True))
     shop_hot = profile.shop_hot_goods(inputs.goods_static, day)
     sources = (profile.user_tags(inputs.focus), profile.user_goods_tags(inputs.focus, day),

@@ -30,6 +30,16 @@ def build_session(app: str = "shelfwise", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def prepared(spark: SparkSession) -> None:
+    """Give a session that was built elsewhere the one setting on which the plans' rows depend.
+
+    With it, a union zips partitions that adaptive execution may have dealt out in different ways.
+    """
+    name = "spark.sql.unionOutputPartitioning"
+    if spark.conf.get(name, "false") != CLUSTER_CONF[name]:
+        spark.conf.set(name, CLUSTER_CONF[name])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 

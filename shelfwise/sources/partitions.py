@@ -2,16 +2,45 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from shelfwise.functions.dates import COMPACT, date_to_pt, pt_to_date
 
 
-def read_partitions(table: DataFrame, pt_from: str, pt_to: str | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class PartitionedTable:
+    """A frame partitioned by ``pt`` and the names of its partitions, which no look-up has to read files for.
+
+    There is a name a day, so the names are few whatever the size of the table.
+    """
+
+    frame: DataFrame
+    names: tuple[str, ...]
+
+    @classmethod
+    def of_table(cls, spark: SparkSession, name: str) -> PartitionedTable:
+        """A table of the catalogue, with the catalogue's names."""
+        return cls(spark.table(name), tuple(sorted(r.pt for r in partition_list(spark, name).collect())))
+
+    @classmethod
+    def of_folder(cls, spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet") -> PartitionedTable:
+        """Files below ``pt=...`` folders, with the names of the folders; ``schema`` has the column pt."""
+        frame = spark.read.schema(schema).format(fmt).load(path)
+        found = (re.search(r"/pt=([^/]*)/[^/]*$", file) for file in frame.inputFiles())
+        return cls(frame, tuple(sorted({unquote(m[1]) for m in found if m})))
+
+
+def read_partitions(table: DataFrame | PartitionedTable, pt_from: str, pt_to: str | None = None) -> DataFrame:
     """Rows of one partition, or of a closed range of partitions."""
+    frame = table.frame if isinstance(table, PartitionedTable) else table
     if pt_to is None:
-        return table.filter(F.col("pt") == pt_from)
-    return table.filter(F.col("pt").between(pt_from, pt_to))
+        return frame.filter(F.col("pt") == pt_from)
+    return frame.filter(F.col("pt").between(pt_from, pt_to))
 
 
 def partition_list(spark: SparkSession, table: str) -> DataFrame:
@@ -25,20 +54,29 @@ def distinct_partitions(table: DataFrame) -> DataFrame:
     return table.select("pt").distinct()
 
 
-def latest_rows(table: DataFrame, pt: str | None = None) -> DataFrame:
-    """Rows of the given or else the greatest partition. Its name is looked up first, among the names
-    alone, so that the scan is pruned by a literal. An empty table stays as it is."""
-    name = pt if pt is not None else table.agg(F.max("pt")).first()[0]
-    return table if name is None else table.filter(F.col("pt") == name)
+def _latest_name(table: DataFrame | PartitionedTable) -> str | None:
+    if isinstance(table, PartitionedTable):
+        return max(table.names, default=None)
+    return as_value(latest_pt(distinct_partitions(table), normalise=False))
+
+
+def latest_rows(table: DataFrame | PartitionedTable, pt: str | None = None) -> DataFrame:
+    """Rows of the given or else the greatest partition, pruned by a literal name. An empty table stays as it is.
+
+    A ``PartitionedTable`` knows the name; for a plain frame its column pt is read.
+    """
+    name = pt if pt is not None else _latest_name(table)
+    frame = table.frame if isinstance(table, PartitionedTable) else table
+    return frame if name is None else frame.filter(F.col("pt") == name)
 
 
-def day_to_run(table: DataFrame, as_of: str | None = None) -> str:
-    """The given day, which must be a partition of the table, or its latest one; with dashes."""
+def day_to_run(table: DataFrame | PartitionedTable, as_of: str | None = None) -> str:
+    """The given day, which must be a partition of the table, or its latest one; with dashes. Looked up as in ``latest_rows``."""
     if as_of is None:
-        as_of = as_value(latest_pt(distinct_partitions(table), normalise=False))
+        as_of = _latest_name(table)
         if as_of is None:
             raise ValueError("the table has no partition")
-    elif not as_value(has_partition(distinct_partitions(table), as_of)):
+    elif not (as_of in table.names if isinstance(table, PartitionedTable) else as_value(has_partition(distinct_partitions(table), as_of))):
         raise ValueError(f"the table has no partition {as_of}")
     return as_of
 
