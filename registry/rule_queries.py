@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from registry.base import query
 from registry.bindings import AS_OF, DAYS, MIN_TAGS, Retail
 from shelfwise import settings as S
+from shelfwise.functions.dates import pt_text
 from shelfwise.operators import follow, rules, sales
 from shelfwise.operators.catalog import category_explode
 from shelfwise.plans import rules_daily
@@ -80,6 +81,17 @@ def sale_window_week(t: Retail) -> DataFrame:
     return sales.sale_window(t.recent, AS_OF)
 
 
+@query("sale_window_moved", """
+    SELECT goods_id, CAST(sum(sale) AS BIGINT) AS sale, count(*) AS rows FROM goods_dynamic
+    WHERE pt BETWEEN '2001-05-02' AND '2001-06-30' AND sale < 2147483647 AND state = '' GROUP BY goods_id""")
+def sale_window_moved(t: Retail) -> DataFrame:
+    """The window of two days before, moved day by day."""
+    totals = staged(sales.window_totals(t.dynamic, pt_text(AS_OF, -2), DAYS), "window-totals")
+    for back in (-1, 0):
+        totals = staged(sales.moved_window(totals, t.dynamic, pt_text(AS_OF, back), DAYS), "window-totals")
+    return totals
+
+
 @query("sale_with_forecast", "SELECT goods_id, sale, prediction FROM sale")
 def sale_with_forecast(t: Retail) -> DataFrame:
     return sale_of(t)

@@ -24,10 +24,32 @@ def known_amount(dynamic: DataFrame) -> DataFrame:
 def sale_window(goods_dynamic: DataFrame | PartitionedTable, as_of: str, days: int = S.SALE_DAYS,
                 state: str | None = "") -> DataFrame:
     """Sale per goods over the ``days`` days that end on ``as_of``."""
+    return window_totals(goods_dynamic, as_of, days, state).select("goods_id", "sale")
+
+
+def window_totals(goods_dynamic: DataFrame | PartitionedTable, as_of: str, days: int = S.SALE_DAYS,
+                  state: str | None = "") -> DataFrame:
+    """``sale_window`` with ``rows``, the number of rows in each sum; stored, it can be moved to the next day."""
     first = pt_text(as_of, 1 - days, dashed=True)
     last = pt_text(as_of, dashed=True)
     rows = valid_sale(read_partitions(goods_dynamic, first, last), state)
-    return rows.groupBy("goods_id").agg(F.sum("sale").cast("bigint").alias("sale"))
+    return rows.groupBy("goods_id").agg(F.sum("sale").cast("bigint").alias("sale"), F.count(F.lit(1)).alias("rows"))
+
+
+def moved_window(totals: DataFrame, goods_dynamic: DataFrame | PartitionedTable, as_of: str, days: int = S.SALE_DAYS,
+                 state: str | None = "") -> DataFrame:
+    """The totals of the window that ends on ``as_of`` from those of the window of the day before.
+
+    Only two partitions are read: the new day is added and the day that leaves is taken off. Goods
+    without rows in the new window leave it, whatever their sum; all other sums are exact.
+    """
+    new, old = pt_text(as_of, dashed=True), pt_text(as_of, -days, dashed=True)
+    frame = goods_dynamic.frame if isinstance(goods_dynamic, PartitionedTable) else goods_dynamic
+    sign = F.when(F.col("pt") == new, 1).otherwise(-1).cast("bigint")
+    changes = (valid_sale(frame.filter(F.col("pt").isin(new, old)), state).withColumn("_sign", sign).groupBy("goods_id")
+               .agg(F.sum(F.col("sale") * F.col("_sign")).alias("sale"), F.sum("_sign").alias("rows")))
+    return (totals.select("goods_id", "sale", "rows").unionByName(changes).groupBy("goods_id")
+            .agg(F.sum("sale").alias("sale"), F.sum("rows").alias("rows")).filter("rows > 0"))
 
 
 def sale_with_forecast(sale: DataFrame, forecast: DataFrame | PartitionedTable, pt: str | None = None) -> DataFrame:

@@ -95,3 +95,19 @@ def test_sessions_built_elsewhere(spark):
     other.conf.set(name, "true")
     prepared(other)
     assert other.conf.get(name) == CLUSTER_CONF[name]
+
+
+def test_window_that_moves_reads_two_partitions(spark, folder):
+    """Two days, unknown and off rows, goods that leave, come back and have a sum of zero."""
+    rows = [(1, 5, 0.0, None, "", "2001-06-27"), (1, 7, 0.0, None, "", "2001-06-29"), (2, 3, 0.0, None, "", "2001-06-28"),
+            (3, 2147483647, 0.0, None, "", "2001-06-29"), (4, 4, 0.0, None, "off", "2001-06-30"), (5, 0, 0.0, None, "", "2001-06-30"),
+            (6, -2, 0.0, None, "", "2001-06-29"), (6, 2, 0.0, None, "", "2001-06-30"), (7, None, 0.0, None, "", "2001-06-29")]
+    dynamic = spark.createDataFrame(rows, SCHEMA)
+    totals = sales.window_totals(dynamic, "2001-06-28", 2)
+    for day in ("2001-06-29", "2001-06-30", "2001-07-01", "2001-07-02"):
+        totals = sales.moved_window(totals, dynamic, day, 2)
+        want = sales.window_totals(dynamic, day, 2)
+        assert sorted(totals.collect()) == sorted(want.collect())
+    table = partitions.PartitionedTable.of_folder(spark, folder, SCHEMA)
+    moved = sales.moved_window(spark.createDataFrame([], "goods_id bigint, sale bigint, rows bigint"), table, DAYS[-1], 2)
+    assert re.search(r"pt#\d+ IN \(2001-06-30,2001-06-28\)", scan(moved, "PartitionFilters"))
