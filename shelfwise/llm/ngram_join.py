@@ -77,10 +77,10 @@ def _row_key() -> list[Column]:
             F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text_hash")]
 
 
-def banded(docs: DataFrame, permutations: int = PERMUTATIONS, rows: int | None = None) -> DataFrame:
+def banded(docs: DataFrame, permutations: int = PERMUTATIONS, rows: int | None = None, seed: int = SEED) -> DataFrame:
     """_id, _text_hash, set (its key), n (its size), bands of every row."""
     rows = rows or band_rows(permutations)
-    a, b = fingerprints.permutations(permutations, SEED)
+    a, b = fingerprints.permutations(permutations, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,14 +207,14 @@ def verified(groups: DataFrame, block: int = BLOCK) -> DataFrame:
 NO_ID = -(1 << 63)
 
 
-def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def linked_sets(docs: DataFrame, bands: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` (_id, _text_hash, set), and every set: class (its least set), text_links, links,
     copies, least_id (without null ids) and row, its first row.
 
     links counts all other documents at or above the threshold, equal sets included; text_links
-    counts other shingle sets.
+    counts other shingle sets. ``bands`` is the frame of ``banded`` for other signatures than the default ones.
     """
-    light = staged(banded(docs), "banded")
+    light = staged(banded(docs) if bands is None else bands, "banded")
     sets = staged(light.groupBy("set").agg(
         F.first("bands").alias("bands"), F.count(F.lit(1)).alias("docs"), F.min(F.struct("_id", "_text_hash")).alias("row"),
         F.min(F.when(F.col("_id") != NO_ID, F.col("_id"))).alias("least_id")), "sets")
@@ -250,9 +250,9 @@ def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return light.select("_id", "_text_hash", "set"), staged(per_set, "linked-sets")
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, bands: DataFrame | None = None) -> DataFrame:
     """doc_id, class_id (least doc_id of the class), n_links, n_text_links, n_copies of every document."""
-    rows, sets = linked_sets(docs)
+    rows, sets = linked_sets(docs, bands)
     least = sets.groupBy("class").agg(F.min("least_id").alias("class_id"))
     known = staged(sets.join(least, "class").select("set", "class_id", "links", "text_links", "copies"), "set-classes")
     return rows.join(known, "set").select(
