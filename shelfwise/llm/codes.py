@@ -122,21 +122,18 @@ def write(docs: DataFrame, path: str, tokenizer: str, cut: str = "any", end_id:
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names)
 
-        try:
-            for batch in batches:
-                for begin in range(0, len(batch), 256):
-                    some = batch.slice(begin, 256)
-                    for doc_id, c in zip(some.column(0).to_pylist(), coder.ids(some.column(1).to_pylist()), strict=True):
-                        ids.append(NULL_ID if doc_id is None else doc_id)
-                        coded.append(c + end)
-                        size += len(c) // 4 + 1
-                        if size >= BLOCK_IDS:
-                            yield row()
-                            block, ids, coded, size = block + 1, [], [], 0
-            if ids:
-                yield row()
-        finally:
-            coder.release()
+        for batch in batches:
+            for begin in range(0, len(batch), 256):
+                some = batch.slice(begin, 256)
+                for doc_id, c in zip(some.column(0).to_pylist(), coder.ids(some.column(1).to_pylist()), strict=True):
+                    ids.append(NULL_ID if doc_id is None else doc_id)
+                    coded.append(c + end)
+                    size += len(c) // 4 + 1
+                    if size >= BLOCK_IDS:
+                        yield row()
+                        block, ids, coded, size = block + 1, [], [], 0
+        if ids:
+            yield row()
 
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
      .repartitionByRange(parts, F.col("doc_id").asc_nulls_first())

@@ -57,20 +57,17 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, end = tokens.coder(tokenizer, cut), struct.pack("<I", end_id)
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-        try:
-            for batch in batches:
-                for begin in range(0, len(batch), 256):
-                    some = batch.slice(begin, 256)
-                    rows: list[tuple] = []
-                    for doc_id, coded in zip(some.column(0).to_pylist(), coder.ids(some.column(1).to_pylist()), strict=True):
-                        coded += end
-                        at = 0
-                        for i, n in enumerate(piece_lengths(len(coded) // 4, capacity)):
-                            rows.append((doc_id, i, at, n, zlib.crc32(coded[4 * at:4 * (at + n)])))
-                            at += n
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-        finally:
-            coder.release()
+        for batch in batches:
+            for begin in range(0, len(batch), 256):
+                some = batch.slice(begin, 256)
+                rows: list[tuple] = []
+                for doc_id, coded in zip(some.column(0).to_pylist(), coder.ids(some.column(1).to_pylist()), strict=True):
+                    coded += end
+                    at = 0
+                    for i, n in enumerate(piece_lengths(len(coded) // 4, capacity)):
+                        rows.append((doc_id, i, at, n, zlib.crc32(coded[4 * at:4 * (at + n)])))
+                        at += n
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 

@@ -13,10 +13,10 @@ from array import array
 
 import pyarrow as pa
 
-#: Bytes of words kept by a Python worker, about; then the store starts anew. It is empty between tasks.
-KEPT_BYTES = 24 << 20
+#: Bytes of words kept by a Python worker, about; then the store starts anew.
+KEPT_BYTES = 72 << 20
 #: What a kept word takes beside its own characters and ids, and the most characters that it may have.
-WORD_BYTES, WORD_CHARS = 190, 64
+WORD_BYTES, WORD_CHARS = 130, 64
 #: White space of Python that the tokenizers do not take for white space.
 _ODD = re.compile("[\x1c-\x1f]")
 #: A space or none, Latin letters (composed, all of category L and one letter in lower case, so without U+0130),
@@ -132,9 +132,7 @@ class WordCoder:
 
 
     def release(self) -> None:
-        """To be called when a task ends: forget all words and give free memory back."""
         self.known.forget()
-        pa.default_memory_pool().release_unused()
 
 
 class _Known(dict):
@@ -151,13 +149,23 @@ class _Known(dict):
     def __missing__(self, word: str) -> bytes:
         coded = self.owner.encode_word(word)
         if len(word) <= WORD_CHARS:
-            self.size += WORD_BYTES + 2 * len(word) + len(coded)
+            self.size += WORD_BYTES + len(word) + len(coded)
             if self.size > KEPT_BYTES:
                 self.forget()
             self[word] = coded
         return coded
 
 
+def release() -> None:
+    """For tasks of other operators: forget all words that tokenizers kept in this worker, and give free memory back.
+
+    Tasks of one stage share the store, since most of a task's rare words were met in an earlier one.
+    """
+    for one in _CODERS.values():
+        one.release()
+    pa.default_memory_pool().release_unused()
+
+
 def coder(path: str, cut: str) -> WordCoder:
     """The worker's coder for a tokenizer file, made once."""
     if (path, cut) not in _CODERS:

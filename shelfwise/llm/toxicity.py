@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from shelfwise.llm import textvec
+from shelfwise.llm import textvec, tokens
 from shelfwise.llm.quality import _FOLD
 
 SAMPLE = 10_000
@@ -204,6 +204,7 @@ def graded(docs: DataFrame, model: Model) -> DataFrame:
     text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.release()
         for batch in batches:
             texts = batch.column(0).field(text).to_pylist()
             for begin, end in textvec.pieces(texts):

@@ -25,16 +25,18 @@ def test_store_of_words_is_bounded_and_released(monkeypatch, name, cut):
     assert not coder.known and not coder.tails
 
 
-def test_store_is_empty_after_a_task(make_docs):
+def test_store_is_empty_after_a_stage_of_another_operator(spark, make_docs):
     path = tokens.vocabulary("byte_bpe_50k.json")
-    docs = make_docs([(i, f"some words {i}") for i in range(50)])
+    docs = make_docs([(i, f"some words {i}") for i in range(50)]).coalesce(1)
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
 
     def left(batches):
         import pyarrow as pa
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([len(tokens.coder(path, "spaces").known)] * len(batch), pa.int64())], ["left"])
 
-    assert packing.pieces(docs.coalesce(1), path).count() == 50
+    assert packing.pieces(docs, path).count() == 50
+    assert toxicity.accepted(docs, labels).count() == 50
     assert {r.left for r in docs.mapInArrow(left, "left long").collect()} == {0}
 
 
