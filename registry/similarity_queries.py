@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from registry.base import query
 from registry.bindings import AS_OF, DAYS, Retail
 from registry.rule_queries import positions, written
 from shelfwise import settings as S
+from shelfwise.functions.dates import pt_text
 from shelfwise.operators import hierarchy, merge, profile, rules, similarity
 from shelfwise.plans import similarity_daily
-from shelfwise.session import staged
+from shelfwise.session import shared_folder, staged
+from shelfwise.sources import tables
 
 
 def shop_hot_of(t: Retail) -> DataFrame:
@@ -306,6 +309,18 @@ def suppress_history(t: Retail) -> DataFrame:
         t.similarity_inputs, side, potential_of(t), S.POTENTIAL, AS_OF))
 
 
+@query("suppress_history_bucketed", "SELECT user_id, type, position, goods_id FROM similar_result WHERE type = 'potential'")
+def suppress_history_bucketed(t: Retail) -> DataFrame:
+    """The same with the history in a table that is bucketed by user."""
+    name = f"shelfwise_bucketed_{uuid.uuid4().hex}"
+    path = f"{shared_folder(t.spark)}/shelfwise/{name}"
+    tables.create_table_if_not_exist(t.spark, name, t.recommend.schema, buckets=8, by=["user_id"], path=path)
+    for pt in (pt_text(AS_OF, -2), pt_text(AS_OF, -1)):
+        tables.overwrite_partition(t.recommend.filter(F.col("pt") == pt), name, pt)
+    inputs = replace(t.similarity_inputs, recommend=t.spark.table(name))
+    return positions(similarity_daily.lists_for_pool(inputs, side_of(t), potential_of(t), S.POTENTIAL, AS_OF))
+
+
 @query("similarity_recommend", "SELECT user_id, type, position, goods_id FROM similar_result")
 def similarity_recommend(t: Retail) -> DataFrame:
     return positions(similarity_daily.similarity_recommend(t.similarity_inputs, AS_OF, DAYS))
@@ -330,6 +345,33 @@ def category_expand(t: Retail) -> DataFrame:
         F.sum(F.col("goods_id") * F.col("n")).alias("goods_sum"))
 
 
+def goods_mark() -> Column:
+    """A number that tells goods apart; its sum tells lists of goods apart in any order."""
+    return (F.col("goods_id") % 99_991 + 3) * (F.col("goods_id") % 999_983 + 7) % 1_000_003
+
+
+GOODS_MARK = "(e.goods_id % 99991 + 3) * (e.goods_id % 999983 + 7) % 1000003"
+
+
+@query("category_expand_sums", f"""
+    SELECT user_id, count(*) AS n_rows, CAST(sum(goods_id) AS BIGINT) AS goods_sum, CAST(sum({GOODS_MARK}) AS BIGINT) AS goods_marks
+    FROM expanded e GROUP BY user_id""")
+def category_expand_sums(t: Retail) -> DataFrame:
+    """Sums over all rows of the expansion, from its factors."""
+    return merge.expansion(t.focus, t.goods_static).sums(goods_sum=F.col("goods_id"), goods_marks=goods_mark())
+
+
+@query("expand_tags_sums", f"""
+    SELECT e.user_id, CAST(sum(r.n) AS BIGINT) AS n_rows, CAST(sum(e.goods_id * r.n) AS BIGINT) AS goods_sum,
+           CAST(sum({GOODS_MARK} * r.n) AS BIGINT) AS goods_marks
+    FROM expanded e JOIN (SELECT goods_id, count(*) AS n FROM goods_dynamic GROUP BY goods_id) r
+      ON r.goods_id = e.goods_id GROUP BY e.user_id""")
+def expand_tags_sums(t: Retail) -> DataFrame:
+    """The same over all rows with tags."""
+    whole = merge.expansion(t.focus, t.goods_static).times(t.goods_dynamic)
+    return whole.sums(goods_sum=F.col("goods_id"), goods_marks=goods_mark())
+
+
 @query("expand_tags", """
     SELECT e.user_id, CAST(sum(r.n) AS BIGINT) AS n_rows, CAST(sum(e.goods_id * r.n) AS BIGINT) AS goods_sum
     FROM expanded e JOIN (SELECT goods_id, count(*) AS n FROM goods_dynamic GROUP BY goods_id) r

@@ -226,11 +226,16 @@ def suppress_history(lists: DataFrame, recommend: DataFrame, kind: str, as_of: s
                      days: int = S.REPEAT_FREE_DAYS, k: int = S.LIST_LENGTH) -> DataFrame:
     """Drop goods shown to the user under the same type lately, keep the first k in order.
 
-    ``lists`` holds a few positions per user; a user left without goods keeps an empty list.
+    ``lists`` holds a few positions per user; a user left without goods keeps an empty list. The
+    history passes by the user's list row by row and leaves only goods that the list has, so what
+    is kept per user is bounded by the list. All steps go by user: a history bucketed by user_id
+    is not shuffled.
     """
-    shown = recent_pairs(recommend, as_of, days, kind).distinct().withColumn("shown", F.lit(True))
-    marked = lists.join(shown, ["user_id", "goods_id"], "left")
-    open_goods = F.collect_list(F.when(F.col("shown").isNull(), F.struct("position", "goods_id")))
-    return marked.groupBy("user_id").agg(F.transform(
-        F.slice(F.array_sort(open_goods), 1, k), lambda x: x["goods_id"]).alias("values")
-    ).select("user_id", F.lit(kind).alias("type"), "values")
+    shown = recent_pairs(recommend, as_of, days, kind).withColumnRenamed("goods_id", "_shown")
+    own = lists.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("position", "goods_id"))).alias("_own"))
+    listed = F.transform("_own", lambda x: x["goods_id"])
+    met = F.collect_set(F.when(F.array_contains(listed, F.col("_shown")), F.col("_shown")))
+    marked = own.join(shown, "user_id", "left").groupBy("user_id", "_own").agg(met.alias("_met"))
+    still_open = F.filter("_own", lambda x: ~F.coalesce(F.array_contains("_met", x["goods_id"]), F.lit(False)))
+    return marked.select("user_id", F.lit(kind).alias("type"),
+                         F.transform(F.slice(still_open, 1, k), lambda x: x["goods_id"]).alias("values"))

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators import follow, groups, similarity
+from shelfwise.operators import follow, groups, merge, similarity
 
 
 @pytest.fixture(scope="module")
@@ -105,3 +105,30 @@ def test_pools_with_many_untagged_goods_are_counted_as_they_are(spark):
     pool = spark.range(3000).select(F.col("id").alias("goods_id"), F.when(F.col("id") < 3, F.array(F.lit("t"))).alias("tags"),
                                     F.col("id").cast("double").alias("sale"), F.lit(0).alias("depth"))
     assert similarity.small_enough(pool.select(F.explode_outer("tags")), 2000) is False
+
+
+def test_sums_through_the_factors_equal_sums_over_the_pairs(spark, rows):
+    rng = random.Random(3)
+    own = [(f"u{rng.randrange(9)}" if rng.random() < .6 else "hot", rng.choice(["a", "b", "c", None]), rng.randrange(1, 4)) for _ in range(40)]
+    goods = [("a" if g % 3 else rng.choice("bc"), g, rng.randrange(1, 3)) for g in range(30)]
+    day = [(g,) for g in range(0, 30, 4) for _ in range(g % 3 + 1)]
+    whole = merge.Expansion(spark.createDataFrame(own + [("only null", None, 2)], "user_id string, category string, n_own bigint"),
+                            spark.createDataFrame(goods, "category string, goods_id bigint, n_goods bigint"))
+    for one in (whole, whole.times(spark.createDataFrame(day, "goods_id bigint"))):
+        sums = one.sums(total=F.col("goods_id"), squares=F.col("goods_id") * F.col("goods_id"))
+        assert "user_id" in sums.columns and rows(sums) == rows(one.pairs().groupBy("user_id").agg(
+            F.sum("n"), F.sum(F.col("n") * F.col("goods_id")), F.sum(F.col("n") * F.col("goods_id") * F.col("goods_id"))))
+    wanted = {}
+    for user, category, n in own + [("only null", None, 2)]:
+        for c, g, m in goods if category else [(None, 0, 1)]:
+            if c == category:
+                count, total = wanted.get(user, (0, 0))
+                wanted[user] = count + n * m, total + n * m * g
+    got = {r.user_id: (r.n_rows, r.total or 0) for r in whole.sums(total=F.col("goods_id")).collect()}
+    assert got == wanted and got["only null"] == (2, 0)
+
+
+def test_sums_over_an_empty_expansion(spark):
+    empty = merge.Expansion(spark.createDataFrame([], "user_id string, category string, n_own bigint"),
+                            spark.createDataFrame([], "category string, goods_id bigint, n_goods bigint"))
+    assert empty.sums(total=F.col("goods_id")).count() == 0 and empty.pairs().count() == 0
