@@ -7,12 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, functions as F
 
 from registry.base import query
-from registry.bindings import AS_OF, Retail
+from registry.bindings import AS_OF, DAYS, Retail
 from shelfwise import settings as S
 from shelfwise.functions import arrays, dates
 from shelfwise.operators import catalog, sales
 from shelfwise.session import shared_folder
-from shelfwise.sources import documents, partitions, tables
+from shelfwise.sources import documents, partitions, tables, versions
 
 ITEM_ROWS = "SELECT user_id, type, pt, unnest(values) AS goods_id, "
 
@@ -122,6 +122,21 @@ def create_table_if_not_exist(t: Retail) -> DataFrame:
     return _rows(t.spark.table(name)).withColumn("columns", F.lit(",".join(again.fieldNames())))
 
 
+@query("write_together", """
+    SELECT 'history' AS source, user_id, goods_id, 1 AS n FROM (
+        SELECT user_id, unnest(values) AS goods_id FROM recommend WHERE pt = '20010629')
+    UNION ALL SELECT 'sale', NULL, goods_id, sale FROM sale_only""")
+def write_together(t: Retail) -> DataFrame:
+    """Two tables of one version, then one of them anew: readers see the last state of both."""
+    folder = f"{shared_folder(t.spark)}/shelfwise/together-{uuid.uuid4().hex}"
+    day = lambda pt: t.recommend.filter(F.col("pt") == pt).select("user_id", F.explode("values").alias("goods_id"))
+    versions.write_together({"history": day("20010628"), "sale": sales.sale_window(t.recent, AS_OF, DAYS)}, folder)
+    versions.write_together({"history": day("20010629")}, folder)
+    last = versions.read_together(t.spark, folder)
+    return last["history"].select(F.lit("history").alias("source"), "user_id", "goods_id", F.lit(1).cast("bigint").alias("n")).unionByName(
+        last["sale"].select(F.lit("sale").alias("source"), F.lit(None).cast("string").alias("user_id"), "goods_id", F.col("sale").alias("n")))
+
+
 @query("drop_table_if_exists", "SELECT pt, count(*) AS n_rows, FALSE AS still_there FROM recommend GROUP BY pt")
 def drop_table_if_exists(t: Retail) -> DataFrame:
     name = f"shelfwise_dropped_{uuid.uuid4().hex}"

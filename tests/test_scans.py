@@ -6,9 +6,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators import sales
+from shelfwise.operators import sales, similarity
 from shelfwise.session import CLUSTER_CONF, prepared
-from shelfwise.sources import documents, partitions
+from shelfwise.sources import documents, partitions, tables
 
 DAYS = ["2001-06-28", "2001-06-29", "2001-06-30"]
 SCHEMA = "goods_id bigint, sale bigint, amount double, tags array<string>, state string, pt string"
@@ -111,3 +111,36 @@ def test_window_that_moves_reads_two_partitions(spark, folder):
     table = partitions.PartitionedTable.of_folder(spark, folder, SCHEMA)
     moved = sales.moved_window(spark.createDataFrame([], "goods_id bigint, sale bigint, rows bigint"), table, DAYS[-1], 2)
     assert re.search(r"pt#\d+ IN \(2001-06-30,2001-06-28\)", scan(moved, "PartitionFilters"))
+
+
+def test_bucketed_history_is_not_shuffled(spark, rows):
+    table = "bucketed_history"
+    schema = "user_id string, type string, `values` array<bigint>, pt string"
+    history = spark.createDataFrame([(f"u{i % 40}", kind, [i, i + 1, i], pt) for i in range(80) for kind in ("hot", "potential")
+                                     for pt in ("20010628", "20010629")], schema)
+    tables.drop_table_if_exists(spark, table)
+    tables.create_table_if_not_exist(spark, table, history.schema, buckets=8, by=["user_id"])
+    for pt in ("20010628", "20010629"):
+        tables.overwrite_partition(history.filter(F.col("pt") == pt), table, pt)
+    assert tables.bucketing(spark, table) == (8, ["user_id"])
+    assert rows(spark.table(table)) == rows(history)
+    lists = spark.createDataFrame([(f"u{i % 50}", g, g) for i in range(50) for g in range(i, i + 4)], "user_id string, goods_id bigint, position int")
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = similarity.suppress_history(lists, spark.table(table), "hot", "2001-06-30")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert rows(got) == rows(similarity.suppress_history(lists, history, "hot", "2001-06-30"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+        tables.drop_table_if_exists(spark, table)
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line)
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    above = []
+    for line in reversed(lines[:at]):
+        indent = len(line) - len(line.lstrip(" :+-"))
+        if indent < depth:
+            above.append(line.strip(" :+-"))
+            depth = indent
+    assert above and not any(line.startswith("Exchange") for line in above) and any("Exchange" in line for line in lines)
