@@ -16,31 +16,35 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 KINDS = ("email", "ip", "card", "phone")
-# Fixed patterns of the base spans.
+# Fixed patterns of the base spans. Emails and addresses begin with a whole run of characters, which is passed over
+# at once where the rest does not follow: no later start in the run could match, so long runs cost linear time.
 BASE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "email": re.compile(r"[A-Za-z0-9._%+-]++(?P<rest>@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++)?"),
+    "ip": re.compile(r"[0-9]++(?P<rest>\.[0-9]++\.[0-9]++\.[0-9]++)?"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 #: A text without this has no match of the kind.
-NEEDS = {"email": "@", "phone": "+"}
+NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 LOOSE = {
     "email": re.compile(r"[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,63})+"),
     "ip": re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])"),
     "card": re.compile(r"[0-9]{4}(?:[.\x20-][0-9]{4}){2}[.\x20-][0-9]{1,7}"),
     "phone": re.compile(r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9])"),
 }
-LOOSE_NEEDS = {"email": "at", "ip": ":", "card": "", "phone": "-."}
+#: A text without any of these has no match.
+LOOSE_NEEDS = {"email": ("(at)", "[at]"), "ip": (":",), "card": ("",), "phone": ("-", ".")}
 #: Characters before a candidate in which its context is looked for.
 CONTEXT = 32
 CUES = {
@@ -108,29 +112,51 @@ def _judge(kind: str, text: str, start: int, end: int, loose: bool, valid: bool)
     cue, against = bool(CUES[kind].search(before)), bool(AGAINST.search(before))
     left = start > 0 and (text[start - 1].isalnum() or text[start - 1] in "_-./")
     right = end < len(text) and (text[end].isalnum() or text[end] in "_-/")
-    votes = (0 if loose else 1 if valid else -1, check, 1 if listed else 0, -1 if against else 1 if cue else 0, -1 if left or right else 1)
+    # The form says nothing where the check is the test that makes it valid.
+    votes = (0 if loose or check else 1 if valid else -1, check, 1 if listed else 0, -1 if against else 1 if cue else 0, -1 if left or right else 1)
     bits = (not loose and valid, loose, check > 0, check < 0, listed, cue, against, left, right)
     return votes, sum(1 << i for i, b in enumerate(bits) if b)
 
 
+def base_matches(kind: str, text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost matches of the base pattern of a kind that do not overlap, valid or not."""
+    if NEEDS.get(kind, "") in text:
+        for m in BASE[kind].finditer(text):
+            if "rest" not in m.re.groupindex or m["rest"]:
+                yield m.span()
+
+
+class Covered:
+    """Whether a stretch meets one of the given spans, found by bisection."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        ordered = sorted(spans)
+        self.starts = [s for s, _ in ordered]
+        self.reach = list(accumulate((e for _, e in ordered), max))
+
+    def meets(self, start: int, end: int) -> bool:
+        k = bisect_left(self.starts, end)
+        return k > 0 and self.reach[k - 1] > start
+
+
 def candidates(text: str) -> list[Candidate]:
     """Base spans, failed matches and loose matches of a text, by start, then kind."""
     out, spans = [], []
     for kind in KINDS:
-        if NEEDS.get(kind, "") in text:
-            for m in BASE[kind].finditer(text):
-                valid = holds(kind, m[0])
-                # Of failed matches only those that are nearly valid are worth a vote.
-                near = kind == "card" and 13 <= len(_digits(m[0])) <= 19 or kind == "phone" and len(_digits(m[0])) >= 7
-                if valid or near:
-                    out.append(Candidate(kind, *m.span(), valid, *_judge(kind, text, *m.span(), False, valid)))
-                if valid:
-                    spans.append(m.span())
+        for start, end in base_matches(kind, text):
+            found = text[start:end]
+            valid = holds(kind, found)
+            # Of failed matches only those that are nearly valid are worth a vote.
+            near = kind == "card" and 13 <= len(_digits(found)) <= 19 or kind == "phone" and len(_digits(found)) >= 7
+            if valid or near:
+                out.append(Candidate(kind, start, end, valid, *_judge(kind, text, start, end, False, valid)))
+            if valid:
+                spans.append((start, end))
+    covered = Covered(spans)
     for kind in KINDS:
-        needs = LOOSE_NEEDS[kind]
-        if not needs or any(c in text for c in ((needs,) if kind != "phone" else needs)):
+        if any(c in text for c in LOOSE_NEEDS[kind]):
             for m in LOOSE[kind].finditer(text):
-                if not any(m.start() < e and s < m.end() for s, e in spans):
+                if not covered.meets(*m.span()):
                     out.append(Candidate(kind, *m.span(), False, *_judge(kind, text, *m.span(), True, False)))
     return sorted(out, key=lambda c: (c.start, KINDS.index(c.kind), c.end))
 
@@ -207,12 +233,13 @@ def spans(text: str, weights: dict[str, np.ndarray]) -> tuple[list[tuple], list[
     rest = [c for c in found if not c.base and c.kind in weights]
     added: list[tuple] = []
     if rest:
+        covered, reach = Covered([(s, e) for _, s, e in base]), 0  # the rest comes by start
         x = _bits(np.array([c.features for c in rest]))
         for c, row in zip(rest, x, strict=True):
             w = weights[c.kind]
-            taken = any(c.start < e and s < c.end for _, s, e in base + added)
-            if not taken and 1 / (1 + np.exp(-np.clip(row @ w[:-1] + w[-1], -30, 30))) >= LIKELY:
+            if c.start >= reach and not covered.meets(c.start, c.end) and 1 / (1 + np.exp(-np.clip(row @ w[:-1] + w[-1], -30, 30))) >= LIKELY:
                 added.append((c.kind, c.start, c.end))
+                reach = c.end
     return base, added
 
 
@@ -240,7 +267,7 @@ def report(docs: DataFrame) -> DataFrame:
 def masked(docs: DataFrame) -> DataFrame:
     """The columns of ``docs``, every span of the text replaced by its kind in angle brackets."""
     weights = train(docs)
-    whole = docs.select("text", F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    whole = docs.select("text", F.struct("*").alias("_row"))
 
     def hide(text: str) -> str:
         base, added = spans(text, weights)
@@ -256,6 +283,5 @@ def masked(docs: DataFrame) -> DataFrame:
             texts = [None if t is None else hide(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(texts, pa.string())], ["_row", "_hidden"])
 
-    row = whole.schema["_row"].dataType.simpleString()
-    out = whole.mapInArrow(run, f"_row {row}, _hidden string")
+    out = whole.mapInArrow(run, T.StructType([whole.schema["_row"], T.StructField("_hidden", T.StringType())]))
     return out.select(*[F.col("_hidden").alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

@@ -19,15 +19,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.llm import textvec
 
 COMMON = 64
 SHORT = 6
 LEAST_WORDS = 50
-#: The tests of distributions need so many words and characters.
-GUARD_WORDS = 50
+#: The tests of distributions need so many words and characters. A text without any common word is about
+#: 0.46 away from its language, which WORD_BOUND reaches at 78 words; the test could reject nothing shorter.
+GUARD_WORDS = 78
 GUARD_CHARS = 200
 #: Largest distances: a part that holds at any length, and one that falls with the root of the count, as chance does.
 CHAR_BOUND = (0.14, 1.5)
@@ -144,7 +145,7 @@ def references(docs: DataFrame, common: int = COMMON) -> dict[str, tuple[np.ndar
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(code), pa.string()), pa.array(kind, pa.int32()),
                                                   pa.array(code, pa.int64()), pa.array(n, pa.int64())], ["lang", "kind", "code", "n"])
 
-    counts = (docs.select(F.coalesce("lang", F.lit("")).alias("lang"), "text")
+    counts = (docs.select(language().alias("lang"), "text")
               .mapInArrow(run, "lang string, kind int, code long, n long").groupBy("lang", "kind", "code").agg(F.sum("n").alias("n")))
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "code")
     kept = counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= common).collect()
@@ -163,6 +164,11 @@ def references(docs: DataFrame, common: int = COMMON) -> dict[str, tuple[np.ndar
     return out
 
 
+def language() -> Column:
+    """The language as a key that is never null; null is a language of its own, other than the empty one."""
+    return F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))
+
+
 def js_distance(counts: np.ndarray, share: np.ndarray) -> np.ndarray:
     """Distance of each row of counts from one distribution; 0 for rows without counts."""
     total = counts.sum(axis=1, keepdims=True)
@@ -223,5 +229,5 @@ def quality(docs: DataFrame, char_bound: tuple = CHAR_BOUND, word_bound: tuple =
                         m.n_words.astype(np.int64), m.word_chars, m.n_symbols, lines, m.n_repeat_words, failed, ~failed & ~far,
                         chars, words))], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("lang"),
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), language().alias("lang"),
                        "text").mapInArrow(run, schema)
