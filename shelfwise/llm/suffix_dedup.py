@@ -13,8 +13,9 @@ anchor lie in its context, at most LENGTH - GRAM bytes before it and LENGTH byte
 3. Where different contexts share an anchor hash their bytes are fetched. In such a group the
    right sides, and the reversed left sides, are ordered by deep-shallow sorting: multikey
    quicksort to ``SHALLOW`` bytes, then a blind trie for every group that is still tied. The
-   common prefixes of neighbours give the match of any two contexts around the anchor, and all
-   matches of LENGTH bytes with an earlier context cover one run of bytes around it.
+   common prefixes of neighbours give, for every window around the anchor, classes of contexts that
+   agree in it; the windows in which an earlier context agrees cover one run of bytes around it.
+   Memory is in proportion to the contexts, no two of them are paired.
 4. Groups with more contexts than ``HOT`` (and a millionth of all anchors) are spread by the
    content of each window instead; equal windows then meet, whatever surrounds them.
 
@@ -43,6 +44,8 @@ HOT = 4096
 HOT_SHARE = 1_000_000
 MOST_MARKS = 64 << 20
 SLICES = 64
+#: Windows of contexts that are classed at a time.
+WINDOW_CELLS = 1 << 19
 #: Bytes searched together; places in them must fit into the low bits of a packed hash.
 BLOCK = 1 << 20
 _LOW = np.uint64(BLOCK - 1)
@@ -406,16 +409,32 @@ def deep_shallow(strings: list[bytes], shallow: int = SHALLOW) -> tuple[list[int
     return order, common
 
 
-def _pair_prefix(order: list[int], common: list[int]) -> np.ndarray:
-    """Common prefix of every two strings, from those of neighbours."""
-    n = len(order)
-    out = np.zeros((n, n), np.int32)
-    at, shared = np.array(order), np.array(common)
-    for i in range(n - 1):
-        run = np.minimum.accumulate(shared[i + 1:])
-        out[at[i], at[i + 1:]] = run
-        out[at[i + 1:], at[i]] = run
-    return out
+def _reaches(right: tuple[list[int], list[int]], before: tuple[list[int], list[int]], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes before and from the anchor that earlier strings cover, per string; 0 and 0 where none does.
+
+    ``right`` and ``before``: sorted order and common prefixes of neighbours. For a window that begins
+    b bytes before the anchor, runs of neighbours with b common bytes on the left and the rest on the
+    right are classes; a string whose two classes an earlier string has, too, is covered by that window.
+    All windows contain the anchor, so those of a string join to one run. No two strings are paired.
+    """
+    (order_r, common_r), (order_b, common_b) = (tuple(np.array(x) for x in y) for y in (right, before))
+    n = len(order_r)
+    back, ahead = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    begins = np.arange(max(0, length - int(common_r.max())), int(common_b.max()) + 1)
+    step = max(1, WINDOW_CELLS // n)
+    for low in range(0, len(begins), step):
+        b = begins[low:low + step, None]
+        classes = np.empty((2, len(b), n), np.int64)
+        classes[0][:, order_b] = np.cumsum(common_b[None, :] < b, axis=1)
+        classes[1][:, order_r] = np.cumsum(common_r[None, :] < length - b, axis=1)
+        key = classes[0] * (n + 1) + classes[1]
+        order = np.argsort(key, axis=1, kind="stable")
+        key = np.take_along_axis(key, order, axis=1)
+        met, place = np.nonzero(key[:, 1:] == key[:, :-1])
+        at, b = order[met, place + 1], b[met, 0]
+        np.maximum.at(back, at, b)
+        np.maximum.at(ahead, at, length - b)
+    return back, ahead
 
 
 def covered(group: list[tuple], length: int = LENGTH) -> list[tuple[int, int, int, int]]:
@@ -434,14 +453,11 @@ def covered(group: list[tuple], length: int = LENGTH) -> list[tuple[int, int, in
         elif kept[:3] != row[:3]:
             out.append((doc, text, start, len(content)))
     if len(left) > 1:
-        right = _pair_prefix(*deep_shallow([r[4][r[3]:] for r in left]))
-        before = _pair_prefix(*deep_shallow([r[4][:r[3]][::-1] for r in left]))
-        match = np.tril(right + before >= length, -1)
-        for i in np.flatnonzero(match.any(axis=1)).tolist():
-            earlier = match[i]
+        back, ahead = _reaches(deep_shallow([r[4][r[3]:] for r in left]),
+                               deep_shallow([r[4][:r[3]][::-1] for r in left]), length)
+        for i in np.flatnonzero(ahead).tolist():
             doc, text, start, at, _ = left[i]
-            reach = int(before[i][earlier].max())
-            out.append((doc, text, start + at - reach, reach + int(right[i][earlier].max())))
+            out.append((doc, text, start + at - int(back[i]), int(back[i] + ahead[i])))
     return out
 
 
