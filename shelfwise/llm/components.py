@@ -8,8 +8,11 @@ from shelfwise.session import staged
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    """u, v and m: the least of u and all its neighbours. Two shuffles, no list of neighbours."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    """u, v and m: the least of u and all its neighbours. Two shuffles, no list of neighbours.
+
+    The minima are stored, so that the join is of two plain tables and the edges of a hub can be split.
+    """
+    least = staged(edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "minima")
     return edges.join(least, "u")
 
 

@@ -3,10 +3,13 @@
 Rows of one band are chosen so that a pair at the threshold meets in some band with at least
 ``RECALL`` probability. Documents with equal shingle sets are one set from the start, however
 many there are. Sets that share a band hash are tied to the least set of the bucket only;
-connected buckets form candidate groups, and inside a candidate group all pairs are compared on
-their full shingle sets, in blocks of about ``BLOCK`` sets, of which a task holds two. So no
+connected buckets form candidate groups, and inside a candidate group all pairs that sizes allow
+are compared on their full shingle sets. Sets of a group are dealt by size to levels so that a
+pair at the threshold is in one level or in two next to each other, and a level's sets to blocks
+of about ``BLOCK`` sets and ``BLOCK_BYTES`` of shingles, of which a task holds two. So no
 pair that shares any bucket, directly or through others, is lost, no bucket is cut, and no row
-is made for a pair: a block returns for each set the number of its links and one tie.
+is made for a pair: a block returns for each set the number of its links and one tie. A set is
+sent once for each block of its own and the two neighbouring levels.
 
 Similarity is the Jaccard similarity of shingle sets. A text with fewer than five words has one
 shingle of all its words. Texts without words (null, empty, blank) have equal (empty) sets and
@@ -29,7 +32,8 @@ from shelfwise.session import staged
 PERMUTATIONS = 256
 THRESHOLD = (4, 5)  # as a fraction
 RECALL = 0.99
-BLOCK = 512
+#: Sets and bytes of shingles of a block, about; tiles of TILE sets are compared at a time.
+BLOCK, BLOCK_BYTES, TILE = 2048, 4 << 20, 512
 SEED = 2
 #: Columns of a block's shingle table that are held at a time.
 WIDTH = 4096
@@ -146,35 +150,105 @@ def local_roots(linked: np.ndarray, names: list[bytes]) -> list[int]:
     return root
 
 
-def verified(groups: DataFrame, block: int = BLOCK) -> DataFrame:
+def tiles(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Cuts of a list of sets, at most ``TILE`` sets and about ``BLOCK_BYTES`` each."""
+    out, begin, size = [], 0, 0
+    for i, one in enumerate(sets):
+        if i > begin and (i - begin == TILE or size + one.nbytes > BLOCK_BYTES):
+            out.append((begin, i))
+            begin, size = i, 0
+        size += one.nbytes
+    return [*out, (begin, len(sets))] if sets else out
+
+
+def links_of(sets: list[np.ndarray], docs: np.ndarray, n_left: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which of the sets are linked, the number of links of each, and of documents linked.
+
+    All sets among themselves, or with ``n_left`` the first so many with the others only.
+    """
+    linked = np.zeros((len(sets), len(sets)), bool)
+    alone = n_left is None
+    left = tiles(sets if alone else sets[:n_left])
+    right = left if alone else [(a + n_left, b + n_left) for a, b in tiles(sets[n_left:])]
+    for a, b in left:
+        for c, d in right:
+            if alone and c < a:
+                continue
+            met = compare(sets[a:b], None if alone and a == c else sets[c:d])
+            linked[a:b, c:d] = met
+            linked[c:d, a:b] = met.T
+    weighed = np.zeros(len(sets), np.int64)
+    for a in range(0, len(sets), TILE):
+        weighed[a:a + TILE] = np.where(linked[a:a + TILE], docs[None, :], 0).sum(axis=1)
+    return linked, linked.sum(axis=1), weighed
+
+
+def levels(size: Column, threshold: tuple[int, int] = THRESHOLD) -> Column:
+    """Level of a set by its size; sizes of a linked pair differ by one level at most.
+
+    The larger of two linked sets has at most 1 / threshold as many members. Levels are wider
+    than that by a share that is far above the error of the logarithm.
+    """
+    return F.floor(F.log(size) / F.lit(np.log(threshold[1] / threshold[0] * 1.0001))).cast("int")
+
+
+def dealt(groups: DataFrame, block: int, block_bytes: int) -> DataFrame:
+    """The rows of ``groups`` once for every pair of blocks that they belong to (_low, _a, _high, _b: levels and blocks).
+
+    A candidate group that fits one block is one level.
+    """
+    sized = groups.withColumn("_level", levels(F.length("shingles") / 8))
+    parts = sized.groupBy("component", "_level").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("shingles").cast("long")).alias("bytes"))
+
+    def blocks(n: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(n / block), F.ceil(size / block_bytes), F.lit(1)).cast("int")
+
+    # A component has as many levels as there are powers up to its longest text: few.
+    directory = parts.groupBy("component").agg(
+        blocks(F.sum("n"), F.sum("bytes")).alias("_whole"),
+        F.map_from_entries(F.collect_list(F.struct("_level", blocks(F.col("n"), F.col("bytes")).alias("k")))).alias("_ks"))
+    known = (sized.join(directory, "component")
+             .withColumn("_level", F.when(F.col("_whole") == 1, 0).otherwise(F.col("_level")))
+             .withColumn("_ks", F.when(F.col("_whole") == 1, F.create_map(F.lit(0), F.lit(1))).otherwise(F.col("_ks"))))
+
+    def count(level: Column) -> Column:
+        return F.coalesce(F.try_element_at("_ks", level), F.lit(0))
+
+    def each(n: Column, made) -> Column:
+        return F.transform(F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda j: j < n), made)
+
+    def pair(low, a, high, b) -> Column:
+        return F.struct(low.alias("_low"), a.alias("_a"), high.alias("_high"), b.alias("_b"))
+
+    level, own = F.col("_level"), F.col("_own")
+    pairs = F.concat(
+        each(count(level), lambda j: pair(level, F.least(own, j), level, F.greatest(own, j))),
+        each(count(level + 1), lambda j: pair(level, own, level + 1, j)),
+        each(count(level - 1), lambda j: pair(level - 1, j, level, own)))
+    return (known.withColumn("_own", F.pmod(F.xxhash64("set"), count(level)).cast("int"))
+            .withColumn("_pair", F.explode(pairs))
+            .select("component", "_pair.*", ((F.col("_pair._low") == level) & (F.col("_pair._a") == own)).alias("_left"),
+                    "set", "docs", "shingles"))
+
+
+def verified(groups: DataFrame, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """set, text_links, links, root: links of every set inside its candidate group, by block pairs.
 
     ``groups``: component, set, docs (rows that have it), shingles (their hashes as bytes).
     """
-    sizes = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_blocks"))
-    rows = (groups.join(sizes, "component")
-            .withColumn("_own", F.pmod(F.xxhash64("set"), F.col("_blocks")).cast("int"))
-            .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-            .select("component", F.least("_own", "_with").alias("_a"), F.greatest("_own", "_with").alias("_b"),
-                    "_own", "set", "docs", "shingles"))
     schema = "set binary, text_links long, links long, root binary"
+    key_columns = ["component", "_low", "_a", "_high", "_b"]
 
     def solve(rows: list[dict]) -> list[tuple]:
+        alone = (rows[0]["_low"], rows[0]["_a"]) == (rows[0]["_high"], rows[0]["_b"])
+        rows.sort(key=lambda r: not r["_left"])
         names = [r["set"] for r in rows]
         sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
-        docs = np.array([r["docs"] for r in rows])
-        if rows[0]["_a"] == rows[0]["_b"]:
-            linked = compare(sets, None)
-        else:
-            left = np.array([r["_own"] == r["_a"] for r in rows])
-            linked = np.zeros((len(rows), len(rows)), bool)
-            one, other = np.flatnonzero(left), np.flatnonzero(~left)
-            if len(one) and len(other):
-                met = compare([sets[i] for i in one], [sets[i] for i in other])
-                linked[np.ix_(one, other)] = met
-                linked[np.ix_(other, one)] = met.T
+        linked, n, weighed = links_of(sets, np.array([r["docs"] for r in rows]),
+                                      None if alone else sum(r["_left"] for r in rows))
         roots = local_roots(linked, names)
-        return list(zip(names, linked.sum(axis=1).tolist(), (linked @ docs).tolist(), [names[r] for r in roots], strict=True))
+        return list(zip(names, n.tolist(), weighed.tolist(), [names[r] for r in roots], strict=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key, out = [], None, []
@@ -187,7 +261,7 @@ def verified(groups: DataFrame, block: int = BLOCK) -> DataFrame:
 
         for batch in batches:
             for r in batch.to_pylist():
-                if (now := (r["component"], r["_a"], r["_b"])) != key:
+                if (now := tuple(r[c] for c in key_columns)) != key:
                     if held:
                         out.extend(solve(held))
                     held, key = [], now
@@ -200,7 +274,7 @@ def verified(groups: DataFrame, block: int = BLOCK) -> DataFrame:
         if out:
             yield made()
 
-    return (rows.repartition("component", "_a", "_b").sortWithinPartitions("component", "_a", "_b")
+    return (dealt(groups, block, block_bytes).repartition(*key_columns).sortWithinPartitions(*key_columns)
             .mapInArrow(run, schema))
 
 
