@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 import tokenizers
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from shelfwise.llm import (codes, fingerprints, line_dedup, mixing, ngram_join, packing, personal_data, quality, suffix_dedup,
                            textvec, tokens, toxicity)
@@ -100,13 +101,14 @@ def brute_links(rows):
     return sorted(((rows[i][0], ids[group[i]], sum(linked[i])) for i in range(n)), key=repr)
 
 
-@pytest.mark.parametrize("block", [2, 512])
-def test_ngram_join(make_docs, odd_rows, monkeypatch, block):
+@pytest.mark.parametrize(("block", "block_bytes"), [(2, 4 << 20), (2048, 1200), (2048, 4 << 20)])
+def test_ngram_join(make_docs, odd_rows, monkeypatch, block, block_bytes):
     base = WORD.findall("the quick brown fox jumps over lazy dogs and runs through many green fields again " * 1) + [f"u{i}" for i in range(60)]
     near = [(100 + k, " ".join(base[:k] + ["changed"] + base[k + 1:])) for k in range(0, 40, 4)]
-    rows = [(r[0], r[1]) for r in odd_rows] + near + [(200, " ".join(base))]
-    monkeypatch.setattr(ngram_join, "BLOCK", block)
-    monkeypatch.setattr(ngram_join.verified, "__defaults__", (block,))
+    # Texts that grow by steps, so that linked ones lie in one level and in two next to each other.
+    grown = [(300 + k, " ".join(base + [f"w{i}" for i in range(3 * k)])) for k in range(14)]
+    rows = [(r[0], r[1]) for r in odd_rows] + near + [(200, " ".join(base))] + grown
+    monkeypatch.setattr(ngram_join.verified, "__defaults__", (block, block_bytes))
     docs = make_docs(rows)
     assert by_row(ngram_join.classes(docs), "class_id", "n_links") == brute_links(rows)
     kept = ngram_join.distinct_documents(docs)
@@ -114,6 +116,53 @@ def test_ngram_join(make_docs, odd_rows, monkeypatch, block):
     assert kept.count() == len({(c if c is not None else "null") for _, c, _ in brute_links(rows)})
 
 
+def test_sizes_of_linked_sets_are_at_most_a_level_apart(spark):
+    sizes = spark.range(1, 20_000).select(F.col("id").alias("n"), ngram_join.levels(F.col("id")).alias("level")).collect()
+    level = {r["n"]: r["level"] for r in sizes}
+    for n in range(1, 15_999):
+        assert level[n] <= level[n * 5 // 4] <= level[n] + 1
+
+
+@given(st.lists(st.integers(1, 40), min_size=1, max_size=30), st.integers(0, 30), st.integers(1, 5), st.randoms())
+@settings(max_examples=40, deadline=None)
+def test_links_by_tiles(sizes, n_left, tile, draw):
+    sets = [np.array(sorted(draw.sample(range(45), n)), np.uint64) for n in sizes]
+    docs = np.arange(1, len(sets) + 1)
+    was, ngram_join.TILE = ngram_join.TILE, tile
+    try:
+        for left in (None, min(n_left, len(sets))):
+            linked, n, weighed = ngram_join.links_of(sets, docs, left)
+            for i, a in enumerate(sets):
+                met = [j for j, b in enumerate(sets) if i != j and (left is None or (i < left) != (j < left))
+                       and 5 * len(np.intersect1d(a, b)) >= 4 * len(np.union1d(a, b))]
+                assert np.flatnonzero(linked[i]).tolist() == met
+                assert (n[i], weighed[i]) == (len(met), sum(docs[j] for j in met))
+    finally:
+        ngram_join.TILE = was
+
+
+def test_long_near_copies_are_dealt_by_bytes(spark):
+    """1,024 sets of 20,000 shingles: a pair of blocks takes less than 150 MB, and no link is lost."""
+    import tracemalloc
+
+    base = np.arange(20_000, dtype=np.uint64)
+    rows = [(bytearray(b"c"), bytearray(k.to_bytes(4, "big")), 1, k) for k in range(1024)]
+    groups = spark.createDataFrame(rows, "component binary, set binary, docs long, k int").withColumn(
+        "shingles", F.expr(f"cast(repeat('x', {20_000 * 8}) as binary)")).drop("k")
+    parts = ngram_join.dealt(groups, ngram_join.BLOCK, ngram_join.BLOCK_BYTES).groupBy("_low", "_a", "_high", "_b").agg(
+        F.count(F.lit(1)).alias("n")).collect()
+    blocks = {p["_a"] for p in parts}
+    assert len(parts) == len(blocks) * (len(blocks) + 1) // 2
+    most = max(p["n"] for p in parts)
+    sets = [np.concatenate([base, np.array([1 << 40 | k], np.uint64)]) for k in range(most)]
+    tracemalloc.start()
+    _, n, _ = ngram_join.links_of(sets, np.ones(most, int), most // 2)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert n.tolist() == [most - most // 2] * (most // 2) + [most // 2] * (most - most // 2)
+    assert peak < 150 << 20
+
+
 def test_ngram_join_empty(make_docs):
     assert ngram_join.classes(make_docs([])).count() == 0
     assert ngram_join.distinct_documents(make_docs([])).count() == 0
@@ -138,6 +187,40 @@ def brute_repeats(rows):
     return sorted(out, key=repr)
 
 
+@given(st.lists(st.tuples(st.text(alphabet="ab", max_size=5), st.text(alphabet="ab", max_size=9)), min_size=1, max_size=25))
+@settings(max_examples=150, deadline=None)
+def test_covered_runs_of_one_anchor(sides):
+    group = [(i, 0, 0, len(a), (a + "#" + b).encode()) for i, (a, b) in enumerate(sides)]
+    got = collections.defaultdict(set)
+    for doc, _, start, size in suffix_dedup.covered(group, 6):
+        got[doc] |= set(range(start, start + size))
+    want = collections.defaultdict(set)
+    for i, (_, _, _, at, data) in enumerate(group):
+        for s in range(max(0, at - 5), min(at, len(data) - 6) + 1):
+            if any(o_at >= at - s and other[o_at - (at - s):][:6] == data[s:s + 6]
+                   for _, _, _, o_at, other in group[:i]):
+                want[i] |= set(range(s, s + 6))
+        if any(g[3:] == group[i][3:] for g in group[:i]):  # equal contexts are covered as a whole
+            want[i] = set(range(len(data)))
+    assert {k: v for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
+
+
+def test_an_anchor_with_very_many_contexts():
+    """100,000 contexts of one anchor in one task: memory in proportion to them."""
+    import tracemalloc
+
+    draw = random.Random(5)
+    middle = b"the same words around one anchor, in all of these texts"
+    group = [(i, 0, 0, 60, draw.randbytes(40) + middle[:20] + middle + draw.randbytes(45)) for i in range(100_000)]
+    group[-1] = (99_999, 0, 0, 60, group[0][4][:150] + b"other bytes here")
+    tracemalloc.start()
+    found = suffix_dedup.covered(group)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found == [(99_999, 0, 0, 150)]
+    assert peak < 200 << 20
+
+
 @pytest.mark.parametrize(("hot", "most_marks"), [(4096, 64 << 20), (2, 64 << 20), (4096, 0)])
 def test_suffix_dedup(make_docs, odd_rows, monkeypatch, hot, most_marks):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
